@@ -240,7 +240,12 @@ class RegistryPipeline:
 
     @cached_property
     def mapping_overview(self) -> DataFrame:
-        return reports.mapping_overview(self.cdm(*reports.OVERVIEW_TABLES), self.concept, self.meta)
+        overview = reports.mapping_overview(self.cdm(*reports.OVERVIEW_TABLES), self.concept, self.meta)
+        return self.stage.write(overview, "mapping_overview")
+
+    @cached_property
+    def dynamics_paths(self) -> DataFrame:
+        return reports.dynamics_paths(self.episode, self.concept)
 
     def registry_tables(self) -> dict[str, DataFrame]:
         """The imported tables as they are counted: lists already spread over rows."""

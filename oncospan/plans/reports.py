@@ -81,7 +81,12 @@ def mapping_overview(cdm: dict[str, DataFrame], concept: DataFrame, meta: DataFr
         "table_name", "source_value",
         F.coalesce("label", "_source_vocabulary", "vocabulary_id").alias("source_vocabulary_id"), "source_domain_id",
         "concept_id", "concept_name", "concept_code", "vocabulary_id", "domain_id", "concept_class_id",
-        "record_count", "mapping_status").orderBy(F.desc("mapping_status"), "table_name", F.desc("record_count"))
+        "record_count", "mapping_status")
+
+
+def ordered(overview: DataFrame) -> DataFrame:
+    """Mapped before unmapped, by table, most frequent first."""
+    return overview.orderBy(F.desc("mapping_status"), "table_name", F.desc("record_count"))
 
 
 def episode_mapping(episode: DataFrame, concept: DataFrame) -> DataFrame:
@@ -100,7 +105,7 @@ def episode_mapping(episode: DataFrame, concept: DataFrame) -> DataFrame:
     return rows.select(
         "table_name", "source_value", F.col("_source_vocabulary").alias("source_vocabulary_id"), "source_domain_id",
         "concept_id", "concept_name", "concept_code", "vocabulary_id", "domain_id", "concept_class_id",
-        "record_count", "mapping_status").orderBy(F.desc("mapping_status"), "table_name", F.desc("record_count"))
+        "record_count", "mapping_status")
 
 
 # ---------------------------------------------------------------- summaries of the overview

@@ -2,19 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from oncospan import schemas
 from oncospan.operators.sets import union_all
 from oncospan.plans import quality
-from oncospan.plans.driver_views import load_sources
 from oncospan.plans.pipeline import RegistryPipeline
-from oncospan.sources import obds_xml, registry_csv, sinks
-from oncospan.sources import vocabulary as vocabulary_source
-from oncospan.staging import Stage
+from oncospan.sources import obds_xml, sinks
+from oncospan.sources.registry_csv import read_registry_csv
+from oncospan.sources.vocabulary import read_vocabularies
 
 REGISTRY = {"patient": "Patient_ID", "tumor": "Tumor_ID", "op": "OP_ID", "systemtherapie": "SYST_ID",
             "strahlentherapie": "Bestrahlung_ID", "fe": "Folgeereignis_ID"}
@@ -23,33 +22,30 @@ XML_BUCKETS = 16
 
 # ---------------------------------------------------------------- CSV
 
-def registry_csv_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    sources, folder = load_sources(spark, sf_dir), Stage(spark).next_path("registry")
+def write_registry_csv(sources: Mapping[str, DataFrame], folder: str) -> None:
     for name in REGISTRY:
         sources[name].write.option("header", True).csv(f"{folder}/{name}.csv")
-    return registry_csv.read_registry_csv(spark, folder)
 
 
 def registry_csv_rows(tables: dict[str, DataFrame]) -> DataFrame:
     def rows(name: str) -> DataFrame:
-        df = tables[name]
         patient = "Patient_ID" if name == "patient" else "Patient_ID_FK"
-        tumor = {"patient": F.lit(None).cast("string"), "tumor": F.col("Tumor_ID")}.get(name, F.col("Tumor_ID_FK")
-                                                                                       if "Tumor_ID_FK" in df.columns else None)
-        return df.select(F.lit(name).alias("table_name"), F.col(REGISTRY[name]).alias("record_id"),
-                         F.col(patient).alias("patient"), F.col("Register_ID_FK").alias("register"),
-                         tumor.alias("tumor"))
+        tumor = {"patient": F.lit(None), "tumor": F.col("Tumor_ID")}.get(name, F.col("Tumor_ID_FK"))
+        return tables[name].select(F.lit(name).alias("table_name"), F.col(REGISTRY[name]).alias("record_id"),
+                                   F.col(patient).alias("patient"), F.col("Register_ID_FK").alias("register"),
+                                   tumor.cast("string").alias("tumor"))
 
     return union_all([rows(name) for name in REGISTRY])
 
 
-def registry_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return registry_csv_rows(registry_csv_tables(spark, sf_dir))
+def registry_csv(p: RegistryPipeline) -> DataFrame:
+    folder = p.stage.folder("registry", lambda path: write_registry_csv(p.sources, path))
+    return registry_csv_rows(read_registry_csv(p.spark, folder))
 
 
 # ---------------------------------------------------------------- vocabulary
 
-def vocabulary(sources: dict[str, DataFrame]) -> dict[str, DataFrame]:
+def vocabulary(sources: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     """The eight vocabulary tables, those that the sources lack derived from the concepts."""
     concept, links = sources["concept"], sources["concept_relationship"]
     start, end = F.lit("1970-01-01").cast("date"), F.lit("2099-12-31").cast("date")
@@ -77,22 +73,24 @@ def vocabulary(sources: dict[str, DataFrame]) -> dict[str, DataFrame]:
     return {name: schemas.conform(df, name) for name, df in tables.items()}
 
 
-def _vocabulary_files(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def write_vocabularies(sources: Mapping[str, DataFrame], folder: str) -> None:
     """Tab-separated files with ``YYYYMMDD`` dates; the prepared concept file is comma-separated."""
-    folder = Stage(spark).next_path("vocabulary")
-    for name, df in vocabulary(load_sources(spark, sf_dir)).items():
+    for name, df in vocabulary(sources).items():
         dates = {c: F.date_format(c, "yyyyMMdd") for c in df.columns if c.endswith("_date")}
         df.withColumns(dates).write.option("header", True).option("sep", "," if name == "concept" else "\t").csv(
             f"{folder}/{name}.csv")
-    return vocabulary_source.read_vocabularies(spark, folder)
 
 
-def vocabulary_concept(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _vocabulary_files(spark, sf_dir)["concept"]
+def _vocabulary_files(p: RegistryPipeline) -> dict[str, DataFrame]:
+    return read_vocabularies(p.spark, p.stage.folder("vocabulary", lambda path: write_vocabularies(p.sources, path)))
 
 
-def vocabulary_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.row_counts(_vocabulary_files(spark, sf_dir))
+def vocabulary_concept(p: RegistryPipeline) -> DataFrame:
+    return _vocabulary_files(p)["concept"]
+
+
+def vocabulary_tables(p: RegistryPipeline) -> DataFrame:
+    return quality.row_counts(_vocabulary_files(p))
 
 
 # ---------------------------------------------------------------- XML
@@ -126,7 +124,7 @@ def _per_tumor(df: DataFrame, key: str, element: Column, group: str, tag: str) -
             .select("_p", "_t", F.struct(F.col("_list").alias(tag)).alias(group)))
 
 
-def write_obds(sources: dict[str, DataFrame], folder: str) -> None:
+def write_obds(sources: Mapping[str, DataFrame], folder: str) -> None:
     """The registry tables as oBDS files, a few per register. An XML patient holds all of its records, so here one
     patient is one row."""
     op = F.struct(_text("Intention"), _text("Datum_OP"), _text("Anzahl_Tage_Diagnose_OP"), F.struct(F.transform(
@@ -208,11 +206,8 @@ def write_obds(sources: dict[str, DataFrame], folder: str) -> None:
      .select("register", "bucket", "value").write.partitionBy("register", "bucket").text(folder))
 
 
-def xml_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    folder = Stage(spark).next_path("obds")
-    write_obds(load_sources(spark, sf_dir), folder)
-    return obds_xml.read_obds(spark, folder)
-
+def xml_tables(p: RegistryPipeline) -> dict[str, DataFrame]:
+    return obds_xml.read_obds(p.spark, p.stage.folder("obds", lambda folder: write_obds(p.sources, folder)))
 
 
 XML_COLUMNS = {
@@ -240,28 +235,26 @@ XML_COLUMNS = {
 }
 
 
-def xml_table(name: str) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, sf_dir: xml_tables(spark, sf_dir)[name].select(*XML_COLUMNS[name])
+def xml_table(name: str) -> Callable[[RegistryPipeline], DataFrame]:
+    return lambda p: xml_tables(p)[name].select(*XML_COLUMNS[name])
 
 
-def xml_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+def xml_rows(p: RegistryPipeline) -> DataFrame:
     """Rows per table of the XML files."""
-    return quality.row_counts(xml_tables(spark, sf_dir))
+    return quality.row_counts(xml_tables(p))
 
 
 # ---------------------------------------------------------------- sinks
 
-def stage_person(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = RegistryPipeline(spark, load_sources(spark, sf_dir))
+def stage_person(p: RegistryPipeline) -> DataFrame:
     folder = p.stage.next_path("sink")
     sinks.write_stage(p.person_stage, folder, "person")
-    return sinks.read_table(spark, folder, "person").select("person_id", "person_source_value", "death_date",
-                                                            "observation_end_date")
+    return sinks.read_table(p.spark, folder, "person").select("person_id", "person_source_value", "death_date",
+                                                              "observation_end_date")
 
 
-def cdm_person(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = RegistryPipeline(spark, load_sources(spark, sf_dir))
+def cdm_person(p: RegistryPipeline) -> DataFrame:
     folder = p.stage.next_path("cdm")
     sinks.write_cdm(p.person_stage, folder, "person")
     sinks.write_cdm(p.person, folder, "person")  # replaces the table
-    return sinks.read_table(spark, folder, "person")
+    return sinks.read_table(p.spark, folder, "person")

@@ -23,7 +23,7 @@ def read_delimited(spark: SparkSession, path: str) -> DataFrame:
 def read_vocabulary(spark: SparkSession, path: str, table: str) -> DataFrame:
     """A vocabulary table with its CDM types; dates are written ``YYYYMMDD``; unnamed concepts are called 'None'."""
     rows = read_delimited(spark, path)
-    rows = rows.withColumns({c: F.try_to_date(F.col(c), F.lit("yyyyMMdd")) for c in rows.columns if "date" in c})
+    rows = rows.withColumns({c: F.try_to_date(c, "yyyyMMdd") for c in rows.columns if "date" in c})
     if table == "concept":
         rows = rows.fillna("None", ["concept_name", "vocabulary_id"])
     return schemas.conform(rows, table)

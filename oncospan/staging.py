@@ -9,6 +9,7 @@ from __future__ import annotations
 import itertools
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,6 +31,7 @@ class Stage:
         self.spark = spark
         self.path = f"{root or stage_root(spark)}/stage-{uuid.uuid4().hex[:12]}"
         self._serial = itertools.count(1)
+        self._folders: dict[str, str] = {}
 
     def next_path(self, name: str) -> str:
         return f"{self.path}/{next(self._serial):03d}-{name}"
@@ -39,3 +41,11 @@ class Stage:
         path = self.next_path(name)
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
+
+    def folder(self, name: str, fill: Callable[[str], None]) -> str:
+        """The folder ``fill`` wrote for ``name``; filled on first use."""
+        if name not in self._folders:
+            path = self.next_path(name)
+            fill(path)
+            self._folders[name] = path
+        return self._folders[name]
