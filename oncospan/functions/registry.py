@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -74,21 +76,21 @@ def end_date(start: Column, days: Column) -> Column:
 
 
 def _single_digit(value: Column, digits: str) -> Column:
-    """The one listed digit the value contains; null when it contains none or several."""
-    found = F.filter(F.array(*[F.lit(d) for d in digits]), lambda d: F.contains(value, d))
-    return F.when(F.size(found) == 1, F.get(found, F.lit(0)))
+    """The one listed digit the value contains, as a number; null when it contains none or several."""
+    hits = reduce(Column.__add__, [F.contains(value, F.lit(d)).cast("int") for d in digits])
+    return F.when(hits == 1, F.coalesce(*[F.when(F.contains(value, F.lit(d)), int(d)) for d in digits]))
 
 
 def t_category(value: Column) -> Column:
-    return _single_digit(F.when(F.contains(value, F.lit("is")), F.lit("1")).otherwise(value), "01234").cast("int")
+    return F.when(F.contains(value, F.lit("is")), 1).otherwise(_single_digit(value, "01234"))
 
 
 def n_category(value: Column) -> Column:
-    return _single_digit(value, "0123").cast("int")
+    return _single_digit(value, "0123")
 
 
 def m_category(value: Column) -> Column:
-    return _single_digit(value, "01").cast("int")
+    return _single_digit(value, "01")
 
 
 def course_category(value: Column) -> Column:

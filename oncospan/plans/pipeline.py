@@ -60,13 +60,16 @@ class RegistryPipeline:
 
     # ------------------------------------------------------------ registry tables
 
+    # patients and tumors are read by several builders, so their source files are parsed once, into the stage
+
     @cached_property
     def patient(self) -> DataFrame:
-        return prep.prepare_patient(self.sources["patient"])
+        return self.stage.write(prep.prepare_patient(self.sources["patient"]), "patient")
 
     @cached_property
     def prepared_tumor(self) -> DataFrame:
-        return prep.prepare_tumor(self.sources["tumor"], self.sources["inzidenzort_mapping"])
+        rows = prep.prepare_tumor(self.sources["tumor"], self.sources["inzidenzort_mapping"])
+        return self.stage.write(rows, "tumor")
 
     @cached_property
     def person(self) -> DataFrame:
@@ -181,7 +184,8 @@ class RegistryPipeline:
 
     @cached_property
     def cancer_drugs(self) -> DataFrame:
-        return regimens.cancer_drugs(self.drug_exposure, self.concept, self.sources["concept_ancestor"])
+        drugs_of_cancer = regimens.cancer_drugs(self.drug_exposure, self.concept, self.sources["concept_ancestor"])
+        return self.stage.write(drugs_of_cancer, "cancer_drugs")
 
     @cached_property
     def cancer_cohort(self) -> DataFrame:
@@ -197,12 +201,13 @@ class RegistryPipeline:
 
     @cached_property
     def regimen_ingredients(self) -> DataFrame:
-        return regimens.regimen_ingredients(self.cancer_drugs, self.cancer_regimen, self.regimen_voc,
+        rows = regimens.regimen_ingredients(self.cancer_drugs, self.cancer_regimen, self.regimen_voc,
                                             self.distinct_ingredients)
+        return self.stage.write(rows, "regimen_ingredients")
 
     @cached_property
     def tumor_conditions(self) -> DataFrame:
-        return episodes.tumor_conditions(self.temp_condition, self.concept)
+        return self.stage.write(episodes.tumor_conditions(self.temp_condition, self.concept), "tumor_conditions")
 
     @cached_property
     def disease_dynamic(self) -> DataFrame:

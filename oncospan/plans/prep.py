@@ -45,8 +45,13 @@ EVENT = {
 }
 
 
-def _typed(df: DataFrame, name: str) -> Column:
-    if name not in df.columns:
+def _typed(df: DataFrame, names: list[str]) -> list[Column]:
+    present = set(df.columns)
+    return [_typed_column(name, name in present) for name in names]
+
+
+def _typed_column(name: str, present: bool) -> Column:
+    if not present:
         kind = "date" if name in DATES else "long" if name in NUMBERS else "string"
         return F.lit(None).cast(kind).alias(name)
     if name in DATES:
@@ -58,13 +63,13 @@ def _typed(df: DataFrame, name: str) -> Column:
 
 def prepare_patient(patient: DataFrame) -> DataFrame:
     key = R.patient_key(F.col("Patient_ID"), F.col("Register_ID_FK"))
-    return patient.select(key.alias("pat_id"), *[_typed(patient, c) for c in PATIENT]).filter("pat_id is not null")
+    return patient.select(key.alias("pat_id"), *_typed(patient, PATIENT)).filter("pat_id is not null")
 
 
 def prepare_tumor(tumor: DataFrame, inzidenzort_mapping: DataFrame) -> DataFrame:
     """Tumors with a readable diagnosis date; unknown districts become one code; ICD-O-3 and provider keys."""
     key = R.patient_key(F.col("Patient_ID_FK"), F.col("Register_ID_FK"))
-    rows = (tumor.select(key.alias("pat_id"), *[_typed(tumor, c) for c in TUMOR])
+    rows = (tumor.select(key.alias("pat_id"), *_typed(tumor, TUMOR))
             .filter("pat_id is not null and Diagnosedatum is not null"))
     known = inzidenzort_mapping.select(R.as_int(F.col("Landkreis_Nr")).alias("_district")).distinct()
     rows = (rows.join(known, F.col("Inzidenzort") == F.col("_district"), "left")
@@ -77,7 +82,7 @@ def prepare_tumor(tumor: DataFrame, inzidenzort_mapping: DataFrame) -> DataFrame
 
 def prepare_event(kind: str, event: DataFrame) -> DataFrame:
     key = R.patient_key(F.col("Patient_ID_FK"), F.col("Register_ID_FK"))
-    return event.select(key.alias("pat_id"), *[_typed(event, c) for c in EVENT[kind]]).filter("pat_id is not null")
+    return event.select(key.alias("pat_id"), *_typed(event, EVENT[kind])).filter("pat_id is not null")
 
 
 def attach_tumor(event: DataFrame, tumor: DataFrame) -> DataFrame:
