@@ -109,3 +109,9 @@ def test_path_nodes_count_every_prefix(spark):
     assert {(r["id"], r["parent"], r["label"], r["count"]) for r in path_nodes(paths, 0).collect()} == {
         ("A", "", "A", 2), ("A - B", "A", "B", 2), ("B", "", "B", 1)}
     assert path_nodes(paths, 2).count() == 0
+
+
+def test_stage_uses_the_shared_folder(spark, stage):
+    root = spark.conf.get("spark.checkpoint.dir")
+    assert stage.path.startswith(root + "/")
+    assert stage.write(spark.range(3).toDF("k"), "t").inputFiles()[0].startswith("file://" + stage.path)
