@@ -11,9 +11,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oncospan.llm import line_dedup
+from oncospan.llm import line_dedup, quality
 from oncospan.llm.common import Scratch
-from oncospan.llm.queries import pack_documents
+from oncospan.llm.jaccard import JaccardJoin
+from oncospan.llm.queries import pack_documents, quality_model, table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -22,19 +23,33 @@ def _documents(rows: DataFrame) -> DataFrame:
     return rows.withColumn("n_chars", F.length(F.coalesce("text", F.lit(""))).cast("long")).select(*COLUMNS)
 
 
+def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the documents that the classifier finds more likely good than bad."""
+    model = quality_model(docs, table(spark, sf_dir, "labels"))
+    return quality.with_score(docs, model).filter("score >= 0.5").select(*COLUMNS)
+
+
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop lines that an earlier document holds, and documents of which nothing but white space is left."""
     kept = line_dedup.dedup_lines(docs, Scratch(spark))
     return _documents(kept.filter((F.col("n_dropped") == 0) | (F.length(F.trim("text")) > 0)))
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays, the one with the smallest doc_id: 5-word shingles, 0.8."""
+    groups = JaccardJoin(Scratch(spark), words=5, num=80, den=100).groups(docs)
+    copies = groups.filter("component_id <> doc_id").select("doc_id").distinct()
+    return docs.join(copies, "doc_id", "left_anti").select(*COLUMNS)
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces of all documents in sequences of 2048."""
     return pack_documents(spark, docs)
 
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
-STAGES: list[tuple[str, Stage]] = [("line_dedup", dedup_lines), ("packing", pack)]
+STAGES: list[tuple[str, Stage]] = [("quality", quality_filter), ("line_dedup", dedup_lines),
+                                   ("near_duplicates", near_duplicates), ("packing", pack)]
 
 ORACLE_SQL = None  # a trained classifier, tokenizer ids and sampling hashes are beyond SQL; see tests/llm
 

@@ -54,15 +54,17 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
 
 
-def map_arrow(df: DataFrame, make: Callable[[], Callable[[dict], dict | None]], schema: str) -> DataFrame:
-    """``mapInArrow`` over dicts of columns. ``make`` runs once per task and returns the function for its batches."""
+def map_arrow(df: DataFrame, make: Callable[[], Callable[[dict], dict | None]], schema: str,
+              flush: bool = False) -> DataFrame:
+    """``mapInArrow`` over dicts of columns. ``make`` runs once per task and returns the function for its batches;
+    with ``flush`` it is called with None after the last batch."""
     out = StructType.fromDDL(schema)
     arrow = to_arrow_schema(out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = make()
-        for batch in batches:
-            made = step({name: batch.column(i) for i, name in enumerate(batch.schema.names)})
+        for batch in itertools.chain(batches, [None] if flush else []):
+            made = step(None if batch is None else {n: batch.column(i) for i, n in enumerate(batch.schema.names)})
             if made is not None:
                 yield pa.RecordBatch.from_arrays([_array(made[f.name], f.type) for f in arrow], schema=arrow)
 

@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oncospan.llm import line_dedup, packing
+from oncospan.llm import line_dedup, packing, quality
 from oncospan.llm.common import Scratch
+from oncospan.llm.jaccard import JaccardJoin
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -18,6 +19,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def held_out() -> Column:
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
+
+
+def quality_model(docs: DataFrame, labels: DataFrame) -> quality.QualityModel:
+    """Trained on the rows outside the held-out fold: good labels, and documents without their labels."""
+    good = (labels.filter(~held_out()).groupBy("doc_id").agg(F.min("quality").alias("low"))
+            .filter("low = 1").select("doc_id"))
+    return quality.fit(docs.filter(~held_out()), good)
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = quality.with_score(docs, quality_model(docs, table(spark, sf_dir, "labels")))
+    return scored.select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def pack_documents(spark: SparkSession, docs: DataFrame) -> DataFrame:
     vocabulary = packing.read_text(public_tokenizers.path(TOKENIZER))
     pieces = packing.pack(docs, Scratch(spark), vocabulary)
@@ -29,6 +48,11 @@ def op2_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(spark, table(spark, sf_dir, "documents"))
 
 
+def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    join = JaccardJoin(Scratch(spark), words=4, num=85, den=100)
+    return join.groups(table(spark, sf_dir, "documents"))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup.dedup_lines(table(spark, sf_dir, "documents"), Scratch(spark))
     return kept.select(F.col("doc_id").cast("long").alias("doc_id"), "n_lines", "n_dropped",
@@ -37,10 +61,36 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_pack": op2_pack,
+    "op4_ngram_jaccard": op4_ngram_jaccard,
     "op8_line_dedup": op8_line_dedup,
+    "op10_quality": op10_quality,
 }
 
 ORACLES: dict[str, str] = {
+    "op4_ngram_jaccard": """
+WITH RECURSIVE word AS (
+    SELECT doc_id, list_filter(
+        regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
+    FROM documents),
+shingle AS (
+    SELECT DISTINCT doc_id,
+           unnest(list_transform(range(1, greatest(1, len(w) - 3) + 1), lambda i: array_to_string(w[i:i + 3], ' '))) AS s
+    FROM word WHERE len(w) > 0),
+size AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
+common AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS overlap
+    FROM shingle a JOIN shingle b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+link AS (
+    SELECT c.a, c.b FROM common c JOIN size x ON x.doc_id = c.a JOIN size y ON y.doc_id = c.b
+    WHERE 100 * overlap >= 85 * (x.n + y.n - overlap)),
+reach AS (
+    SELECT doc_id AS node, doc_id AS other FROM documents
+    UNION
+    SELECT reach.node, link.b FROM reach JOIN link ON link.a = reach.other)
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, r.component_id
+FROM documents d LEFT JOIN size s ON s.doc_id = d.doc_id
+JOIN (SELECT node, min(other) AS component_id FROM reach GROUP BY node) r ON r.node = d.doc_id""",
     "op8_line_dedup": """
 WITH line AS (
     SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
