@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oncospan.llm import line_dedup, packing, quality
+from oncospan.llm import embeddings, line_dedup, packing, quality
 from oncospan.llm.common import Scratch
 from oncospan.llm.jaccard import JaccardJoin
 
@@ -19,6 +19,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"), Scratch(spark))
+
+
 def held_out() -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
@@ -60,6 +64,7 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_embedding_dedup": op1_embedding_dedup,
     "op2_pack": op2_pack,
     "op4_ngram_jaccard": op4_ngram_jaccard,
     "op8_line_dedup": op8_line_dedup,
@@ -67,6 +72,23 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op1_embedding_dedup": """
+WITH RECURSIVE usable AS (
+    SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+      AND list_sum(list_transform(embedding, lambda x: CASE WHEN x IS NULL OR NOT isfinite(x) THEN 1 ELSE 0 END)) = 0
+      AND list_max(list_transform(embedding, lambda x: abs(x))) > 0),
+link AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b
+    ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+    WHERE list_cosine_similarity(a.v, b.v) >= 0.93),
+reach AS (
+    SELECT vec_id AS node, vec_id AS other FROM embeddings
+    UNION
+    SELECT reach.node, link.b FROM reach JOIN link ON link.a = reach.other)
+SELECT e.vec_id, (SELECT count(*) FROM link WHERE link.a = e.vec_id) AS n_links, r.component_id,
+       e.vec_id = r.component_id AS kept
+FROM embeddings e JOIN (SELECT node, min(other) AS component_id FROM reach GROUP BY node) r ON r.node = e.vec_id""",
     "op4_ngram_jaccard": """
 WITH RECURSIVE word AS (
     SELECT doc_id, list_filter(
