@@ -11,10 +11,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oncospan.llm import line_dedup, quality
+from oncospan.llm import line_dedup, mixing, quality
 from oncospan.llm.common import Scratch
 from oncospan.llm.jaccard import JaccardJoin
-from oncospan.llm.queries import pack_documents, quality_model, table
+from oncospan.llm.queries import MIX_POWER, pack_documents, quality_model, table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -42,6 +42,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return docs.join(copies, "doc_id", "left_anti").select(*COLUMNS)
 
 
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sample documents so that sources, languages and topics have their tempered target shares."""
+    scratch = Scratch(spark)
+    measured = mixing.measure(docs)
+    slim = scratch.write(measured.drop("text"), "measured")
+    return mixing.fit(slim, scratch, power=MIX_POWER).decide(measured).filter("sampled").select(*COLUMNS)
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces of all documents in sequences of 2048."""
     return pack_documents(spark, docs)
@@ -49,7 +57,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 STAGES: list[tuple[str, Stage]] = [("quality", quality_filter), ("line_dedup", dedup_lines),
-                                   ("near_duplicates", near_duplicates), ("packing", pack)]
+                                   ("near_duplicates", near_duplicates), ("mixing", mix_sources), ("packing", pack)]
 
 ORACLE_SQL = None  # a trained classifier, tokenizer ids and sampling hashes are beyond SQL; see tests/llm
 

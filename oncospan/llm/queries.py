@@ -8,11 +8,12 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oncospan.llm import embeddings, line_dedup, packing, quality
+from oncospan.llm import embeddings, line_dedup, mixing, packing, quality
 from oncospan.llm.common import Scratch
 from oncospan.llm.jaccard import JaccardJoin
 
 TOKENIZER = "word_bpe_49k.json"
+MIX_POWER = 0.9  # target shares of sources, languages and topics are in proportion to tokens ** MIX_POWER
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,6 +58,14 @@ def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return join.groups(table(spark, sf_dir, "documents"))
 
 
+def op6_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's cell, raked weight, probability and draw."""
+    scratch = Scratch(spark)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    measured = scratch.write(mixing.measure(docs).drop("text"), "measured")
+    return mixing.fit(measured, scratch, power=MIX_POWER).decide(measured)
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup.dedup_lines(table(spark, sf_dir, "documents"), Scratch(spark))
     return kept.select(F.col("doc_id").cast("long").alias("doc_id"), "n_lines", "n_dropped",
@@ -67,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embedding_dedup": op1_embedding_dedup,
     "op2_pack": op2_pack,
     "op4_ngram_jaccard": op4_ngram_jaccard,
+    "op6_mix": op6_mix,
     "op8_line_dedup": op8_line_dedup,
     "op10_quality": op10_quality,
 }
