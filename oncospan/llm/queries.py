@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oncospan.llm import embeddings, line_dedup, mixing, packing, quality
+from oncospan.llm import embeddings, line_dedup, mixing, order_minhash, packing, quality
 from oncospan.llm.common import Scratch
 from oncospan.llm.jaccard import JaccardJoin
 
@@ -58,6 +58,22 @@ def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return join.groups(table(spark, sf_dir, "documents"))
 
 
+def op5_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text and its edited text: the last half replaced by as much of the next document's start."""
+    rows = order_minhash.fingerprints(table(spark, sf_dir, "documents"))
+    half = F.floor(F.length("text") / 2).cast("int")
+    edited = F.concat(F.substr("text", F.lit(1), F.length("text") - half), F.substr("next_text", F.lit(1), half))
+    rows = rows.withColumn("n_chars", F.length("text").cast("long")).withColumn("edited", edited)
+    rows = order_minhash.with_sketches(rows.drop("text", "next_text"), "edited", "edited_sketches")
+    own = F.col("sketches")
+    return rows.select(
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
+        order_minhash.as_text(own).alias("fingerprint"),
+        order_minhash.as_text(F.col("edited_sketches")).alias("edited_fingerprint"),
+        order_minhash.likeness(own, F.col("edited_sketches")).alias("near_edited"),
+        order_minhash.likeness(own, F.col("next_sketches")).alias("near_next"))
+
+
 def op6_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's cell, raked weight, probability and draw."""
     scratch = Scratch(spark)
@@ -76,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embedding_dedup": op1_embedding_dedup,
     "op2_pack": op2_pack,
     "op4_ngram_jaccard": op4_ngram_jaccard,
+    "op5_order_minhash": op5_order_minhash,
     "op6_mix": op6_mix,
     "op8_line_dedup": op8_line_dedup,
     "op10_quality": op10_quality,
