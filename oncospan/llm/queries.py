@@ -8,7 +8,17 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oncospan.llm import embeddings, line_dedup, mixing, order_minhash, packing, quality
+from oncospan.llm import (
+    chat,
+    embeddings,
+    language,
+    licenses,
+    line_dedup,
+    mixing,
+    order_minhash,
+    packing,
+    quality,
+)
 from oncospan.llm.common import Scratch
 from oncospan.llm.jaccard import JaccardJoin
 
@@ -35,6 +45,10 @@ def quality_model(docs: DataFrame, labels: DataFrame) -> quality.QualityModel:
     return quality.fit(docs.filter(~held_out()), good)
 
 
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "pages"), Scratch(spark))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = quality.with_score(docs, quality_model(docs, table(spark, sf_dir, "labels")))
@@ -53,6 +67,10 @@ def op2_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(spark, table(spark, sf_dir, "documents"))
 
 
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"), Scratch(spark))
+
+
 def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     join = JaccardJoin(Scratch(spark), words=4, num=85, den=100)
     return join.groups(table(spark, sf_dir, "documents"))
@@ -82,6 +100,10 @@ def op6_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.fit(measured, scratch, power=MIX_POWER).decide(measured)
 
 
+def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.format_chats(table(spark, sf_dir, "conversations"), Scratch(spark))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup.dedup_lines(table(spark, sf_dir, "documents"), Scratch(spark))
     return kept.select(F.col("doc_id").cast("long").alias("doc_id"), "n_lines", "n_dropped",
@@ -91,14 +113,35 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embedding_dedup": op1_embedding_dedup,
     "op2_pack": op2_pack,
+    "op3_language": op3_language,
     "op4_ngram_jaccard": op4_ngram_jaccard,
     "op5_order_minhash": op5_order_minhash,
     "op6_mix": op6_mix,
+    "op7_chat": op7_chat,
     "op8_line_dedup": op8_line_dedup,
+    "op9_licenses": op9_licenses,
     "op10_quality": op10_quality,
 }
 
 ORACLES: dict[str, str] = {
+    "op7_chat": """
+WITH placed AS (
+    SELECT conv_id, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, 'unknown'),
+                              coalesce(text, '')) AS place
+    FROM conversations WHERE conv_id IS NOT NULL),
+conv AS (
+    SELECT conv_id, count(*) AS turns, list({'r': role, 't': text} ORDER BY place) AS said,
+           string_agg('<|im_start|>' || replace(role, '<|', '< |') || chr(10) || replace(text, '<|', '< |')
+                      || '<|im_end|>' || chr(10), '' ORDER BY place) AS text
+    FROM placed GROUP BY conv_id),
+whole AS (
+    SELECT min(conv_id) AS conv_id, turns, said, text, count(*) AS copies FROM conv GROUP BY turns, said, text),
+inner_of AS (
+    SELECT DISTINCT a.conv_id FROM whole a JOIN whole b
+    ON a.said[1] = b.said[1] AND a.turns < b.turns AND a.said = b.said[1:a.turns])
+SELECT conv_id, 0 AS part, turns, copies, text FROM whole
+WHERE conv_id NOT IN (SELECT conv_id FROM inner_of)""",
     "op1_embedding_dedup": """
 WITH RECURSIVE usable AS (
     SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
