@@ -13,7 +13,6 @@ names. The last sequence is the only one that is not full.
 
 from __future__ import annotations
 
-import unicodedata
 from collections.abc import Callable
 
 import numpy as np
@@ -23,7 +22,7 @@ from pyspark.sql import functions as F
 
 from oncospan.llm.common import Scratch, map_arrow, small_batches
 
-CACHE_WORDS = 150_000  # words whose ids a task remembers; only memory depends on it
+CACHE_WORDS = 500_000  # words whose ids a task remembers; only memory depends on it
 
 
 def byte_letters() -> dict[int, str]:
@@ -56,7 +55,7 @@ class WordEncoder:
     def piece(self, word: str) -> bytes:
         ids = self.pieces.get(word)
         if ids is None:
-            shown = word if word.isascii() else "".join(self.letters[b] for b in word.encode())
+            shown = word if word.isascii() else "".join([self.letters[b] for b in word.encode()])
             ids = np.array([t.id for t in self.model.tokenize(shown)], "<u4").tobytes()
             if len(self.pieces) >= CACHE_WORDS:
                 self.pieces.clear()
@@ -66,10 +65,15 @@ class WordEncoder:
     def chunk(self, text: str) -> bytes:
         if not text:
             return b""
-        if "<|" in text or not self.plain.fullmatch(text) or not unicodedata.is_normalized("NFC", text):
+        lower = text.lower()
+        if max(lower) < "\u0250":  # plain Latin letters: one word, perhaps with one mark after it
+            if lower.isalpha():
+                return self.piece(lower)
+            if lower[:-1].isalpha() and lower[-1] in ".,;:!?":
+                return self.piece(lower[:-1]) + self.piece(lower[-1])
+        if "<|" in text or not self.plain.fullmatch(text):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        lower = text.lower() if text.isascii() else "".join(c.lower() for c in text)
-        return b"".join(map(self.piece, self.words.findall(lower)))
+        return b"".join(map(self.piece, self.words.findall("".join([c.lower() for c in text]))))
 
     def encode(self, text: str) -> bytes:
         parts = text.replace("\n", " ").split(" ")
@@ -78,16 +82,18 @@ class WordEncoder:
             return b"".join(map(known.__getitem__, parts))
         except KeyError:
             pass
-        out = []
-        for part in parts:
-            ids = known.get(part)
+        out = list(map(known.get, parts))
+        at = -1
+        for _ in range(out.count(None)):
+            at = out.index(None, at + 1)
+            part = parts[at]
+            out[at] = ids = known.get(part)  # met earlier in this text
             if ids is None:
-                ids = self.chunk(part)
+                out[at] = ids = self.chunk(part)
                 if len(part) <= 40:
                     if len(known) >= CACHE_WORDS:
                         known.clear()
                     known[part] = ids
-            out.append(ids)
         return b"".join(out)
 
 
