@@ -27,9 +27,11 @@ TNM_CODES = [
 ]
 # Codes for which T4 N0 M0 is invasive; every other TNM code has no extent for T4 N0 M0.
 T4_INVASIVE = ["C34", "C50", "C64"]
-# Overall tumor status -> disease dynamic; other states (X, U, D, Y) carry none.
+# Overall tumor status -> disease dynamic. A code in neither list has no dynamic.
 DYNAMIC_BY_STATUS = {"V": "Complete Remission", "R": "Complete Remission", "T": "Partial Remission",
                      "P": "Progression", "K": "Stable Disease", "B": "Stable Disease"}
+# States that say nothing, so that the course speaks.
+NO_STATUS = ["X", "U", "D", "Y"]
 # Dynamic when the local, nodal and distant course agree on one state.
 DYNAMIC_BY_COURSE = {"K": "Complete Remission", "T": "Partial Remission", "N": "Stable Disease"}
 COURSE_STATES = ["K", "T", "P", "N", "R"]
@@ -62,9 +64,14 @@ def icdo3_code(morphology: Column, topography: Column) -> Column:
     return F.concat(morphology, F.lit("-"), topography)
 
 
+def without_space(token: Column) -> Column:
+    """White space of any script goes, no-break spaces too."""
+    return F.regexp_replace(token, r"(?U)\s+", "")
+
+
 def clean_substance(token: Column) -> Column:
     """No white space, no trailing four-digit version."""
-    return F.regexp_replace(F.regexp_replace(token, r"\s+", ""), r"\d{4}$", "")
+    return F.regexp_replace(without_space(token), r"\d{4}$", "")
 
 
 def event_date(stated: Column, diagnosis: Column, days: Column) -> Column:
@@ -117,4 +124,4 @@ def disease_dynamic(overall: Column, local: Column, nodes: Column, distant: Colu
     course = F.lit(None).cast("string")
     for code, name in DYNAMIC_BY_COURSE.items():
         course = F.when((local == code) & (nodes == code) & (distant == code), name).otherwise(course)
-    return F.coalesce(status, course)
+    return F.when(overall.isNull() | overall.isin(NO_STATUS), course).otherwise(status)

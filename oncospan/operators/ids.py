@@ -1,16 +1,15 @@
 """Dense row numbers without a single-partition window.
 
 ``number_rows`` range-partitions by a total order, sorts inside each partition and writes the rows together with
-(partition, position). The id is the number of rows in the partitions before it, plus the position. Only one row
-count per partition reaches the driver. Range partitioning splits a hot leading key by the keys that follow it, so a
+(partition, position). The id is the number of rows in the partitions before it, plus the position; the starts are a
+staged table of one row per partition. Range partitioning splits a hot leading key by the keys that follow it, so a
 group that holds a third of the rows is still numbered by many tasks.
 """
 
 from __future__ import annotations
 
-from itertools import accumulate
-
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from oncospan.staging import Stage
@@ -20,17 +19,23 @@ _POSITION_MASK = (1 << 33) - 1
 
 def number_rows(df: DataFrame, order: list[str | Column], stage: Stage, name: str, id_col: str,
                 first: int = 1) -> DataFrame:
-    """Stage ``df`` with ``id_col`` = ``first``, ``first`` + 1, … in ``order``. Ties in ``order`` get arbitrary turns."""
-    placed = (df.repartitionByRange(*order).sortWithinPartitions(*order)
+    """Stage ``df`` with ``id_col`` = ``first``, ``first`` + 1, … in ``order``. Ties in ``order`` get arbitrary turns.
+
+    Range partitioning samples its input by running it, so ``df`` is staged first and runs once.
+    """
+    rows = stage.write(df, f"{name}_rows")
+    placed = (rows.repartitionByRange(*order).sortWithinPartitions(*order)
               .withColumn("_part", F.spark_partition_id())
               .withColumn("_pos", F.monotonically_increasing_id().bitwiseAND(F.lit(_POSITION_MASK))))
-    rows = stage.write(placed, name)
-    sizes = {r["_part"]: r["n"] for r in rows.groupBy("_part").agg(F.count("*").alias("n")).collect()}
-    parts = range(max(sizes, default=0) + 1)
-    starts = list(accumulate((sizes.get(p, 0) for p in parts), initial=first))[:-1]
-    start = F.get(F.array(*[F.lit(s).cast("long") for s in starts]), F.col("_part"))
+    ranged = stage.write(placed, name)
+    stage.remove(f"{name}_rows")
+    sizes = ranged.groupBy("_part").agg(F.count("*").alias("_n"))
+    earlier = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)  # one row per partition
+    starts = stage.write(sizes.select("_part", (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) + first).alias("_start")),
+                         f"{name}_starts")
     others = [c for c in df.columns if c != id_col]
-    return rows.select((start + F.col("_pos")).alias(id_col), *others)
+    # two numbers per partition of the range shuffle
+    return ranged.join(F.broadcast(starts), "_part").select((F.col("_start") + F.col("_pos")).alias(id_col), *others)
 
 
 def number_in_groups(df: DataFrame, group: list[str], order: list[str | Column], stage: Stage, name: str,

@@ -18,10 +18,10 @@ def ordered_paths(rows: DataFrame, key: list[str], order: list[str], label: str)
                     F.size("_labels").alias("path_length")))
 
 
-def path_levels(paths: DataFrame, depth: int) -> DataFrame:
-    """One column per level of the path, null past its end."""
-    labels = F.split("concept_path", ARROW)
-    return paths.select("*", *[F.get(labels, F.lit(i)).alias(f"level_{i + 1}") for i in range(depth)])
+def path_levels(paths: DataFrame, key: list[str]) -> DataFrame:
+    """One row per key and level: (key, level from 1, label), as deep as each path is."""
+    levels = F.posexplode(F.split("concept_path", ARROW)).alias("_at", "label")
+    return paths.select(*key, levels).select(*key, (F.col("_at") + 1).alias("level"), "label")
 
 
 def path_nodes(paths: DataFrame, more_than: int) -> DataFrame:

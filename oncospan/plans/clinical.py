@@ -157,22 +157,33 @@ def procedure_occurrence(events: dict[str, DataFrame], mappings: DataFrame, meta
 # ---------------------------------------------------------------- measurements and observations
 
 def condition_links(temp_condition: DataFrame, mappings: DataFrame) -> DataFrame:
-    """(person, ICD-O-3 code) -> condition. Kept per source concept of the mapping, so a condition may occur twice."""
+    """Conditions with the keys that measurements and observations link by. Kept per source concept of the mapping, so
+    a condition may occur twice."""
     icdo = mappings.filter((F.col("target_vocabulary_id") == "ICDO3") & (F.col("source_domain_id") == "Condition")).select(
         F.col("target_concept_id").alias("_target"), "source_vocabulary_id", "source_concept_id")
-    return (temp_condition.select("condition_occurrence_id", F.col("person_id").alias("_person"),
-                                  F.col("icdo3").alias("_icdo3"), "condition_concept_id")
+    keys = [F.col("person_id").alias("_person"), F.col("icdo3").alias("_icdo3"), F.col("pat_id").alias("_pat"),
+            F.col("Tumor_ID").alias("_tumor")]
+    return (temp_condition.select("condition_occurrence_id", *keys, "condition_concept_id")
             .join(icdo, F.col("condition_concept_id") == F.col("_target"))
-            .select("condition_occurrence_id", "_person", "_icdo3", "source_vocabulary_id", "source_concept_id")
-            .distinct().select("condition_occurrence_id", "_person", "_icdo3"))
+            .drop("condition_concept_id", "_target").distinct().drop("source_vocabulary_id", "source_concept_id"))
 
 
-def _link(rows: DataFrame, links: DataFrame) -> DataFrame:
-    return rows.join(links, (F.col("person_id") == F.col("_person")) & (F.col("icdo3") == F.col("_icdo3")), "left")
+def _link(rows: DataFrame, links: DataFrame, equal_codes: bool) -> DataFrame:
+    """Rows with the conditions of their own tumor, so a person's rows grow by the tumor's few conditions.
+
+    ``equal_codes`` links every condition of the person with the same ICD-O-3 code, of whichever tumor: N tumors of one
+    code and M events give N x M rows.
+    """
+    same = F.col("icdo3") == F.col("_icdo3")
+    if equal_codes:
+        same &= F.col("person_id") == F.col("_person")
+    else:
+        same &= (F.col("pat_id") == F.col("_pat")) & (F.col("tumor_id") == F.col("_tumor"))
+    return rows.join(links, same, "left").drop("_person", "_icdo3", "_pat", "_tumor", "icdo3", "pat_id", "tumor_id")
 
 
 def measurement(tumor: DataFrame, events: dict[str, DataFrame], meta: DataFrame, links: DataFrame,
-                stage: Stage, split_sites: bool = False) -> DataFrame:
+                stage: Stage, split_sites: bool = False, link_equal_codes: bool = False) -> DataFrame:
     """Laterality, grading, stage groups, diagnostic certainty, metastasis site and residual status.
 
     ``split_sites`` looks up each entry of a metastasis list; by default the whole list must equal a code.
@@ -180,8 +191,8 @@ def measurement(tumor: DataFrame, events: dict[str, DataFrame], meta: DataFrame,
     entries = meta.filter(F.col("source_code").isNotNull()).select(
         F.col("element").alias("_element"), F.col("source_code").alias("_code"), F.col("concept_id")).distinct()
 
-    def rows(df: DataFrame, element: Column, code: Column, date: str) -> DataFrame:
-        return df.select("person_id", F.col(date).alias("measurement_date"),
+    def rows(df: DataFrame, element: Column, code: Column, date: str, tumor_id: str = "Tumor_ID_FK") -> DataFrame:
+        return df.select("person_id", "pat_id", F.col(tumor_id).alias("tumor_id"), F.col(date).alias("measurement_date"),
                          F.col("inzidenzort_com").alias("provider_id"), F.col("visit").alias("visit_occurrence_id"),
                          element.alias("element"), code.alias("measurement_source_value"), "icdo3")
 
@@ -195,7 +206,7 @@ def measurement(tumor: DataFrame, events: dict[str, DataFrame], meta: DataFrame,
     follow_ups = events["fe"].filter("person_id is not null").withColumn("_site", site)
     surgeries = events["op"].filter("has_tumor and person_id is not null")
     coded = union_all([
-        rows(stacked, F.col("_m.element"), F.col("_m.code"), "Diagnosedatum"),
+        rows(stacked, F.col("_m.element"), F.col("_m.code"), "Diagnosedatum", "Tumor_ID"),
         rows(follow_ups, F.lit("Lokalisation_der_Fernmetastase"), F.col("_site"), "Datum_Folgeereignis"),
         rows(surgeries, F.lit("Residualstatus"), F.col("Beurteilung_Residualstatus"), "Datum_OP"),
     ]).filter("measurement_source_value is not null and measurement_date is not null")
@@ -206,10 +217,9 @@ def measurement(tumor: DataFrame, events: dict[str, DataFrame], meta: DataFrame,
         "person_id", F.when(as_value, DIAGNOSTIC_CONFIRMATION).otherwise(F.col("concept_id")).cast("long")
         .alias("measurement_concept_id"), "measurement_date",
         F.when(as_value, F.col("concept_id")).cast("long").alias("value_as_concept_id"), "provider_id",
-        "visit_occurrence_id", "measurement_source_value", "icdo3")
+        "visit_occurrence_id", "measurement_source_value", "icdo3", "pat_id", "tumor_id")
     found = found.filter("measurement_concept_id is not null").distinct()
-    linked = _link(found, links).withColumnRenamed("condition_occurrence_id", "measurement_event_id")
-    linked = linked.drop("_person", "_icdo3", "icdo3")
+    linked = _link(found, links, link_equal_codes).withColumnRenamed("condition_occurrence_id", "measurement_event_id")
     order = ["measurement_date", "person_id", "visit_occurrence_id", "measurement_concept_id",
              "measurement_source_value", "value_as_concept_id", "measurement_event_id"]
     numbered = number_rows(linked, order, stage, "measurement", "measurement_id")
@@ -219,12 +229,12 @@ def measurement(tumor: DataFrame, events: dict[str, DataFrame], meta: DataFrame,
 
 
 def observation(tumor: DataFrame, events: dict[str, DataFrame], mappings: DataFrame, meta: DataFrame,
-                links: DataFrame, stage: Stage) -> DataFrame:
+                links: DataFrame, stage: Stage, link_equal_codes: bool = False) -> DataFrame:
     """Watchful therapy types, tumor morphology and tumor topography."""
     tumor = tumor.filter("person_id is not null")
 
-    def rows(df: DataFrame, source: str, date: str, source_concept: Column) -> DataFrame:
-        return df.select("person_id", "observation_concept_id", F.col(date).alias("observation_date"),
+    def rows(df: DataFrame, source: str, date: str, source_concept: Column, tumor_id: str = "Tumor_ID") -> DataFrame:
+        return df.select("person_id", "pat_id", F.col(tumor_id).alias("tumor_id"), "observation_concept_id", F.col(date).alias("observation_date"),
                          F.col("inzidenzort_com").alias("provider_id"), F.col("visit").alias("visit_occurrence_id"),
                          F.col(source).alias("observation_source_value"),
                          source_concept.cast("long").alias("observation_source_concept_id"), "icdo3")
@@ -239,14 +249,13 @@ def observation(tumor: DataFrame, events: dict[str, DataFrame], mappings: DataFr
                            "source_code", **outputs)
     therapies = events["systemtherapie"].filter("has_tumor and person_id is not null and icdo3 is not null")
     found = union_all([
-        rows(lookup(therapies, F.col("Therapieart"), types), "Therapieart", "event_start", F.lit(None)),
+        rows(lookup(therapies, F.col("Therapieart"), types), "Therapieart", "event_start", F.lit(None), "Tumor_ID_FK"),
         rows(lookup(tumor, F.col("Primaertumor_Morphologie_ICD_O"), morphology),
              "Primaertumor_Morphologie_ICD_O", "Diagnosedatum", F.col("mapped_from")),
         rows(lookup(tumor, F.col("Primaertumor_Topographie_ICD_O"), topography),
              "Primaertumor_Topographie_ICD_O", "Diagnosedatum", F.col("mapped_from")),
     ]).filter("observation_concept_id is not null and observation_date is not null").distinct()
-    linked = _link(found, links).withColumnRenamed("condition_occurrence_id", "observation_event_id")
-    linked = linked.drop("_person", "_icdo3", "icdo3")
+    linked = _link(found, links, link_equal_codes).withColumnRenamed("condition_occurrence_id", "observation_event_id")
     order = ["observation_date", "person_id", "visit_occurrence_id", "observation_concept_id",
              "observation_source_value", "observation_source_concept_id", "observation_event_id"]
     numbered = number_rows(linked, order, stage, "observation", "observation_id")

@@ -33,9 +33,9 @@ select cast(k as string) Patient_ID, lpad(cast(reg as string),2,'0') Register_ID
 select cast(o_orderkey as string) Tumor_ID, Patient_ID Patient_ID_FK, Register_ID_FK,
  case when o_orderkey%29=0 then null else cast(o_orderdate as date) end Diagnosedatum,
  case when o_orderkey%13=0 then 99999 when o_orderkey%17=0 then null else 1000*reg+n end Inzidenzort,
- 'C'||lpad(cast(o_orderkey%90 as string),2,'0')||case when o_orderkey%4=0 then '.9' else '' end Primaertumor_ICD,
- 'C'||lpad(cast(o_orderkey%90 as string),2,'0')||'.9' Primaertumor_Topographie_ICD_O,
- case when o_orderkey%23=0 then null else cast(8000+o_orderkey%10 as string)||'/3' end Primaertumor_Morphologie_ICD_O,
+ 'C'||case when o_orderkey%3=0 then '50' else lpad(cast(o_orderkey%90 as string),2,'0') end||case when o_orderkey%4=0 then '.9' else '' end Primaertumor_ICD,
+ 'C'||case when o_orderkey%3=0 then '50' else lpad(cast(o_orderkey%90 as string),2,'0') end||'.9' Primaertumor_Topographie_ICD_O,
+ case when o_orderkey%23=0 then null when o_orderkey%3=0 then '8000/3' else cast(8000+o_orderkey%10 as string)||'/3' end Primaertumor_Morphologie_ICD_O,
  case o_orderkey%9 when 0 then '0' when 1 then '1' when 2 then '2a' when 3 then '3' when 4 then '4b' when 5 then 'is' when 6 then 'X' when 7 then '1-2' else null end pTNM_T,
  case o_orderkey%7 when 0 then '0' when 1 then '1' when 2 then '4' when 3 then '2' else null end cTNM_T,
  case o_orderkey%5 when 0 then '0' when 1 then '1a' when 2 then 'X' else null end pTNM_N,
@@ -67,7 +67,7 @@ select eid OP_ID, Patient_ID_FK, Tumor_ID_FK, Register_ID_FK, case when pk%7=0 t
     "systemtherapie": """
 select eid SYST_ID, Patient_ID_FK, Tumor_ID_FK, Register_ID_FK, case when pk%8=0 then null else od+cast(pk%200 as int) end Beginn_SYST, pk%200 Anzahl_Tage_Diagnose_SYST, case when sk%4=0 then null else sk%90 end Anzahl_Tage_SYST,
  case pk%5 when 0 then 'CH' when 1 then 'HO' when 2 then 'IM' when 3 then 'WW' else 'AS' end Therapieart,
- case pk%7 when 0 then 'L01X'||lpad(cast(pk%40 as string),2,'0')||' 2019' when 1 then 'mab'||lpad(cast(pk%40 as string),3,'0')||'ine' when 2 then 'mab'||lpad(cast(pk%40 as string),3,'0')||'in' when 3 then 'neo mab'||lpad(cast(pk%40 as string),3,'0')||'ine x' when 4 then 'neo mab'||lpad(cast(pk%40 as string),3,'0')||'in x' when 5 then 'mab001ine+mab002ine' else null end
+ case pk%7 when 0 then 'L01X'||lpad(cast(pk%40 as string),2,'0')||' 2019' when 1 then 'mab'||lpad(cast(pk%40 as string),3,'0')||'ine' when 2 then 'mab '||lpad(cast(pk%40 as string),3,'0')||'in' when 3 then 'neo mab'||lpad(cast(pk%40 as string),3,'0')||'ine x' when 4 then 'neo mab'||lpad(cast(pk%40 as string),3,'0')||'in x' when 5 then 'mab001ine+mab002ine' else null end
  || case when sk%3=0 then ';mab'||lpad(cast(sk%40 as string),3,'0')||'ine' else '' end Substanzen
  from event_base where ln in (5,6)
 """,
@@ -78,10 +78,12 @@ select eid Bestrahlung_ID, Patient_ID_FK, Tumor_ID_FK, Register_ID_FK, case when
 """,
     "fe": """
 select cast(event_id as string) Folgeereignis_ID, pid Patient_ID_FK, t.tid Tumor_ID_FK, Register_ID_FK, cast(ts as date) Datum_Folgeereignis,
- case event_type when 'signup' then 'V' when 'view' then 'K' when 'click' then 'P' when 'purchase' then 'T' else 'X' end Gesamtbeurteilung_Tumorstatus,
+ case when event_id%19=0 then 'Q' when event_id%23=0 then null else case event_type when 'signup' then 'V' when 'view' then 'K' when 'click' then 'P' when 'purchase' then 'T' else 'X' end end Gesamtbeurteilung_Tumorstatus,
  case event_id%3 when 0 then 'K' when 1 then 'T' else 'N' end Verlauf_Lokaler_Tumorstatus, case event_id%3 when 0 then 'K' when 1 then 'T' else 'N' end Verlauf_Tumorstatus_Lymphknoten, case when event_id%2=0 then case event_id%3 when 0 then 'K' when 1 then 'T' else 'N' end else 'X' end Verlauf_Tumorstatus_Fernmetastasen, case when event_id%10=0 then 'OSS' when event_id%10=1 then 'HEP;OSS' else null end Menge_FM,
  case event_id%11 when 0 then '2' when 1 then 'is' else null end Folgeereignis_TNM_T, case event_id%13 when 0 then '1' else null end Folgeereignis_TNM_N, case event_id%17 when 0 then '1a' when 1 then '0' else null end Folgeereignis_TNM_M
- from events join (select Patient_ID_FK pid, Register_ID_FK, cast(min(cast(Tumor_ID as bigint)) as string) tid from tumor where Diagnosedatum is not null group by Patient_ID_FK, Register_ID_FK) t on pid=cast(user_id as string)
+ from events join (select Patient_ID_FK pid, Register_ID_FK, Tumor_ID tid, count(*) over (partition by Patient_ID_FK) n,
+  row_number() over (partition by Patient_ID_FK order by cast(Tumor_ID as bigint))-1 place from tumor where Diagnosedatum is not null) t
+ on pid=cast(2*user_id+event_id%2 as string) and place=cast(floor(event_id/2) as bigint)%n
 """,
     "inzidenzort_mapping": """
 select 1000*(1+n_nationkey%16)+n_nationkey Landkreis_Nr, n_name Landkreis, 1+n_nationkey%16 Bundesland_Nr, 'LAND_'||cast(1+n_nationkey%16 as string) Bundesland from nation

@@ -44,6 +44,10 @@ class RegistryPipeline:
         self.split_sites = split_sites
         self.distinct_ingredients = distinct_ingredients
 
+    def close(self) -> None:
+        """Delete the stage tables; no frame of this pipeline can be read afterwards."""
+        self.stage.close()
+
     # ------------------------------------------------------------ vocabulary
 
     @cached_property
@@ -236,7 +240,8 @@ class RegistryPipeline:
 
     @cached_property
     def episode_event(self) -> DataFrame:
-        return episodes.episode_event(self.episode, {name: getattr(self, name) for name in episodes.EVENT_FIELDS})
+        events = episodes.episode_event(self.episode, {name: getattr(self, name) for name in episodes.EVENT_FIELDS})
+        return self.stage.write(events, "episode_event")
 
     # ------------------------------------------------------------ collections
 

@@ -132,7 +132,7 @@ def explode_surgery(op: DataFrame) -> DataFrame:
 
 def explode_systemic(systemtherapie: DataFrame) -> DataFrame:
     return (systemtherapie.withColumn("_token", F.explode_outer(F.split("Substanzen", ";")))
-            .withColumn("substances_raw", F.regexp_replace("_token", r"\s+", ""))
+            .withColumn("substances_raw", R.without_space(F.col("_token")))
             .withColumn("substances", R.clean_substance(F.col("_token"))).drop("_token"))
 
 

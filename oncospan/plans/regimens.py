@@ -12,7 +12,6 @@ from oncospan.staging import Stage
 ANTINEOPLASTIC_ROOT = 21601386
 # The links of a regimen to its ingredients.
 INGREDIENT_LINKS = ["Has cytotoxic chemo", "Has supportive med", "Has antineoplastic"]
-REGIMEN_LENGTH = 2000
 
 
 def cancer_drugs(drug_exposure: DataFrame, concept: DataFrame, concept_ancestor: DataFrame) -> DataFrame:
@@ -114,5 +113,5 @@ def regimen_ingredients(drugs: DataFrame, regimen: DataFrame, voc: DataFrame,
     return (members.join(contents, ["person_id", "drug_era_id"], "left")
             .join(named, ["person_id", "regimen_start_date"], "left")
             .select("person_id", "drug_era_id", "ingredient", "ingredient_start_date", "ingredient_end_date",
-                    F.substring("_list", 1, REGIMEN_LENGTH).alias("regimen"), "hemonc_concept_id", "reg_name",
+                    F.col("_list").alias("regimen"), "hemonc_concept_id", "reg_name",
                     "regimen_start_date", "regimen_end_date"))

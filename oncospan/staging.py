@@ -7,7 +7,6 @@ they were written. The folder is the one the cluster names in ``spark.checkpoint
 from __future__ import annotations
 
 import itertools
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -15,13 +14,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def stage_root(spark: SparkSession) -> str:
-    """The shared folder of the session; a scratch folder only for a local master that names none."""
+    """The folder that driver and executors share, as the session names it."""
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    return tempfile.mkdtemp(prefix="oncospan-")
+    if not root:
+        raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach, or give Stage a root")
+    return root.rstrip("/")
 
 
 class Stage:
@@ -32,13 +29,14 @@ class Stage:
         self.path = f"{root or stage_root(spark)}/stage-{uuid.uuid4().hex[:12]}"
         self._serial = itertools.count(1)
         self._folders: dict[str, str] = {}
+        self._written: dict[str, str] = {}
 
     def next_path(self, name: str) -> str:
         return f"{self.path}/{next(self._serial):03d}-{name}"
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
         """Write ``df`` once and return a reader over the written files."""
-        path = self.next_path(name)
+        path = self._written[name] = self.next_path(name)
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
@@ -49,3 +47,15 @@ class Stage:
             fill(path)
             self._folders[name] = path
         return self._folders[name]
+
+    def remove(self, name: str) -> None:
+        """Delete the last table written as ``name``; nothing may read it any more."""
+        self._delete(self._written.pop(name))
+
+    def close(self) -> None:
+        """Delete the whole folder, when no table of the run is read any more."""
+        self._delete(self.path)
+
+    def _delete(self, path: str) -> None:
+        target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -3,14 +3,16 @@
 import datetime as dt
 import random
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from oncospan.operators.ids import number_in_groups, number_rows
 from oncospan.operators.intervals import events_in_intervals, state_runs
-from oncospan.operators.paths import ordered_paths, path_nodes
+from oncospan.operators.paths import ordered_paths, path_levels, path_nodes
 from oncospan.operators.substrings import single_hit
+from oncospan.plans import clinical
 
 DAY = dt.date(2020, 1, 1)
 
@@ -115,3 +117,40 @@ def test_stage_uses_the_shared_folder(spark, stage):
     root = spark.conf.get("spark.checkpoint.dir")
     assert stage.path.startswith(root + "/")
     assert stage.write(spark.range(3).toDF("k"), "t").inputFiles()[0].startswith("file://" + stage.path)
+
+
+def test_numbering_runs_its_input_once(spark, stage):
+    ran = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def counted(x):
+        ran.add(1)
+        return x
+
+    number_rows(spark.range(500, numPartitions=3).select(counted("id").alias("k")), ["k"], stage, "once", "n").collect()
+    assert ran.value == 500
+
+
+def test_path_levels_of_any_depth(spark):
+    paths = spark.createDataFrame([(1, "A -> B -> C -> D -> E"), (2, "A")], "person_id long, concept_path string")
+    rows = {tuple(r) for r in path_levels(paths, ["person_id"]).collect()}
+    assert rows == {(1, i + 1, x) for i, x in enumerate("ABCDE")} | {(2, 1, "A")}
+
+
+def test_links_of_a_hot_person_grow_linearly(spark):
+    tumors = [(1, "p", f"t{i}", "8000/3-C50.9") for i in range(200)]
+    links = spark.createDataFrame([(i, *t) for i, t in enumerate(tumors)],
+                                  "condition_occurrence_id long, _person long, _pat string, _tumor string, _icdo3 string")
+    rows = spark.createDataFrame([t for t in tumors for _ in range(3)], "person_id long, pat_id string, tumor_id string, icdo3 string")
+    assert clinical._link(rows, links, equal_codes=False).count() == 600
+    assert clinical._link(rows, links, equal_codes=True).count() == 600 * 200
+
+
+def test_stage_needs_a_shared_folder(spark, stage):
+    kept = stage.write(spark.range(3), "kept")
+    stage.write(spark.range(2), "gone")
+    stage.remove("gone")
+    assert kept.count() == 3
+    stage.close()
+    with pytest.raises(Exception):
+        spark.read.parquet(stage.path).count()

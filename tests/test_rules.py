@@ -47,7 +47,8 @@ def test_t_category(spark, value, category):
 @pytest.mark.parametrize("states, dynamic", [
     (("X", "K", "K", "K"), "Complete Remission"), (("X", "T", "T", "T"), "Partial Remission"),
     (("X", "N", "N", "N"), "Stable Disease"), (("X", "K", "T", "K"), None), (("P", "K", "K", "K"), "Progression"),
-    (("R", None, None, None), "Complete Remission")])
+    (("R", None, None, None), "Complete Remission"), (("Q", "K", "K", "K"), None),
+    ((None, "K", "K", "K"), "Complete Remission")])
 def test_dynamic(spark, states, dynamic):
     assert one(spark, R.disease_dynamic(*[F.lit(s).cast("string") for s in states])) == dynamic
 
@@ -56,7 +57,7 @@ def test_keys_and_codes(spark):
     assert one(spark, R.provider_key(F.lit(2014), F.lit("7"))) == 201407
     assert one(spark, R.provider_key(F.lit(2014), F.lit("123"))) == 2014123
     assert one(spark, R.icdo3_code(F.lit(None).cast("string"), F.lit("C50.9"))) is None
-    assert [one(spark, R.clean_substance(F.lit(s))) for s in ("L01XA01 2019", "Cis platin", "X1234")] == [
+    assert [one(spark, R.clean_substance(F.lit(s))) for s in ("L01XA01 2019", "Cis\u00a0platin", "X1234")] == [
         "L01XA01", "Cisplatin", "X"]
 
 
@@ -98,6 +99,15 @@ def test_regimen_names_and_repeats(spark):
     assert {(r["regimen"], r["reg_name"]) for r in once} == {("a", "Shorter")}
 
 
+def test_long_ingredient_list_is_whole(spark):
+    rows = [("ingredient " + "x" * 90, i, 1, day(0), day(1)) for i in range(30)]
+    df = spark.createDataFrame(rows, "concept_name string, drug_era_id long, person_id long, ingredient_start_date date, "
+                                     "ingredient_end_date date")
+    voc = spark.createDataFrame([], "reg_name string, combo_name string, concept_id long")
+    found = regimens.regimen_ingredients(df, regimens.cancer_regimen(df), voc).collect()
+    assert {r["regimen"] for r in found} == {",".join(["ingredient " + "x" * 90] * 30)}
+
+
 def test_person_dates(spark):
     people = spark.createDataFrame([(i, f"p{i}") for i in range(1, 6)], "person_id long, person_source_value string")
     patient = spark.createDataFrame(
