@@ -17,7 +17,7 @@ from oncospan.sources.vocabulary import read_vocabularies
 
 REGISTRY = {"patient": "Patient_ID", "tumor": "Tumor_ID", "op": "OP_ID", "systemtherapie": "SYST_ID",
             "strahlentherapie": "Bestrahlung_ID", "fe": "Folgeereignis_ID"}
-XML_BUCKETS = 16
+PATIENTS_PER_FILE = 500
 
 
 # ---------------------------------------------------------------- CSV
@@ -125,8 +125,11 @@ def _per_tumor(df: DataFrame, key: str, element: Column, group: str, tag: str) -
 
 
 def write_obds(sources: Mapping[str, DataFrame], folder: str) -> None:
-    """The registry tables as oBDS files, a few per register. An XML patient holds all of its records, so here one
-    patient is one row."""
+    """The registry tables as oBDS files of some hundreds of patients. An XML patient holds all of its records, so here
+    one patient is one row."""
+    registers = max(1, sources["patient"].select("Register_ID_FK").distinct().count())
+    buckets = -(-sources["patient"].count() // (registers * PATIENTS_PER_FILE))
+    bucket = F.pmod(F.hash("Patient_ID"), F.lit(max(1, buckets))).alias("bucket")
     op = F.struct(_text("Intention"), _text("Datum_OP"), _text("Anzahl_Tage_Diagnose_OP"), F.struct(F.transform(
         F.split("Menge_OPS_code", ";"), lambda c: F.struct(c.alias("Code"), F.lit("2024").alias("Version"))).alias("OPS"))
         .alias("Menge_OPS"), _element("Beurteilung_Residualstatus", "Lokale_Beurteilung_Residualstatus"))
@@ -191,7 +194,7 @@ def write_obds(sources: Mapping[str, DataFrame], folder: str) -> None:
     status = F.struct(_text("Verstorben"), _text("Datum_Vitalstatus"), F.struct(
         F.struct(_element("Todesursache_Grundleiden", "Code")).alias("Grundleiden")).alias("Todesursachen")).alias("Vitalstatus")
     patients = sources["patient"].join(tumors, F.col("Patient_ID") == F.col("_p"), "left").select(
-        F.col("Register_ID_FK").alias("register"), F.abs(F.hash("Patient_ID") % XML_BUCKETS).alias("bucket"),
+        F.col("Register_ID_FK").alias("register"), bucket,
         F.lit(1).alias("turn"), F.to_xml(F.struct(
             F.col("Patient_ID").alias("_Patient_ID"), F.struct(_text("Geschlecht"), _text("Geburtsdatum"), status)
             .alias("Patienten_Stammdaten"), "Menge_Tumor"), {"rowTag": "Patient"}).alias("value"))
@@ -200,14 +203,17 @@ def write_obds(sources: Mapping[str, DataFrame], folder: str) -> None:
     frame = F.explode(F.array(F.struct(F.lit(0).alias("turn"), opening.alias("value")),
                               F.struct(F.lit(2).alias("turn"), F.lit("</Menge_Patient></oBDS>").alias("value"))))
     files = sources["patient"].select(F.col("Register_ID_FK").alias("register"),
-                                      F.abs(F.hash("Patient_ID") % XML_BUCKETS).alias("bucket")).distinct()
+                                      bucket).distinct()
     edges = files.select("register", "bucket", frame.alias("f")).select("register", "bucket", "f.turn", "f.value")
     (edges.unionByName(patients).repartition("register", "bucket").sortWithinPartitions("register", "bucket", "turn")
      .select("register", "bucket", "value").write.partitionBy("register", "bucket").text(folder))
 
 
 def xml_tables(p: RegistryPipeline) -> dict[str, DataFrame]:
-    return obds_xml.read_obds(p.spark, p.stage.folder("obds", lambda folder: write_obds(p.sources, folder)))
+    folder = p.stage.folder("obds", lambda path: write_obds(p.sources, path))
+    if "obds_tables" not in p.__dict__:  # parsed once for all queries of the pipeline
+        p.__dict__["obds_tables"] = obds_xml.read_obds(p.spark, folder, stage=p.stage)
+    return p.__dict__["obds_tables"]
 
 
 XML_COLUMNS = {

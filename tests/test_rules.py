@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from oncospan import RegistryPipeline
 from oncospan.functions import registry as R
 from oncospan.plans import drugs, person, regimens
-from oncospan.sources.obds_xml import read_obds
+from oncospan.sources.obds_xml import read_obds, read_patients
 from oncospan.sources.registry_csv import read_registry_csv
 from oncospan.sources.vocabulary import guess_delimiter, read_vocabulary
 
@@ -138,7 +138,7 @@ XML = """<?xml version="1.0" encoding="UTF-8"?>
 <Menge_SYST><SYST><Intention>K</Intention><Menge_Substanz><Substanz><ATC><Code>L01</Code><Version>2019</Version></ATC></Substanz>
 <Substanz><Bezeichnung>Cis platin</Bezeichnung></Substanz><Substanz><ATC><Code>L02</Code></ATC></Substanz></Menge_Substanz></SYST></Menge_SYST>
 <Menge_ST><ST><Intention>P</Intention><Menge_Bestrahlung><Bestrahlung><Applikationsart><Perkutan><Zielgebiet><CodeVersion2021>3.1</CodeVersion2021></Zielgebiet>
-<Radiochemo>RCJ</Radiochemo><Stereotaktisch>ST</Stereotaktisch></Perkutan></Applikationsart></Bestrahlung></Menge_Bestrahlung></ST></Menge_ST>
+<Radiochemo>RCJ</Radiochemo><Radiochemo>RCN</Radiochemo><Stereotaktisch>ST</Stereotaktisch></Perkutan></Applikationsart></Bestrahlung></Menge_Bestrahlung></ST></Menge_ST>
 </Tumor><Tumor Tumor_ID="b"><Primaerdiagnose><Diagnosedatum>2021-01-01</Diagnosedatum></Primaerdiagnose></Tumor></Menge_Tumor></Patient>
 <Patient Patient_ID="2"><Patienten_Stammdaten><Geschlecht>M</Geschlecht></Patienten_Stammdaten><Menge_Tumor><Tumor Tumor_ID="a">
 <Menge_Folgeereignis><Folgeereignis><Datum_Folgeereignis>2022-01-01</Datum_Folgeereignis></Folgeereignis></Menge_Folgeereignis></Tumor></Menge_Tumor></Patient>
@@ -158,10 +158,26 @@ def test_xml(spark, tmp_path):
     op, syst, st = (tables[t].first() for t in ("op", "systemtherapie", "strahlentherapie"))
     assert op["Menge_OPS_code"] == "5-1;5-2"
     assert (syst["Substanzen"], syst["Intention_sy"]) == ("L01 2019 ;Cis platin; L02", "K")
-    assert (st["Applikationsart"], st["Applikationsspezifikation"], st["Zielgebiet_CodeVersion"]) == ("Perkutan", "RCJ;ST", "3.1")
+    assert (st["Applikationsart"], st["Applikationsspezifikation"], st["Zielgebiet_CodeVersion"]) == ("Perkutan", "RCJ;RCN;ST", "3.1")
     assert [r["Menge_FM"] for r in tables["fe"].collect()] == [""]
 
 
+def test_large_xml_file_is_split(spark, tmp_path, stage):
+    patient = '<Patient\n Patient_ID="{0}"><Patienten_Stammdaten><Geschlecht>M</Geschlecht></Patienten_Stammdaten>\n' \
+        '<Menge_Tumor><Tumor Tumor_ID="t{0}"/></Menge_Tumor></Patient>\n'
+    (tmp_path / "big.xml").write_text('<?xml version="1.0"?>\n<oBDS xmlns="http://x"><Lieferregister Register_ID="07"/><Menge_Patient>\n'
+                                      + "".join(patient.format(i) for i in range(4000)) + "</Menge_Patient></oBDS>\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100k")
+    try:
+        patients = read_patients(spark, str(tmp_path), stage=stage)
+        assert patients.rdd.getNumPartitions() > 3
+        rows = patients.select("register", "p._Patient_ID").collect()
+        assert sorted(int(r[1]) for r in rows) == list(range(4000)) and {r[0] for r in rows} == {"07"}
+        assert "hashpartitioning(_file" not in patients._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_csv_keeps_text_and_requires_tables(spark, tmp_path):
     for name in ("patient", "tumor", "fe", "op", "systemtherapie"):
         (tmp_path / f"{name}.csv").write_text('Patient_ID,Register_ID_FK\n1,"02"\n')
