@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from oncospan.llm import line_dedup, mixing, quality
 from oncospan.llm.common import Scratch
-from oncospan.llm.jaccard import JaccardJoin
+from oncospan.llm.jaccard import BROADCAST_IDS, JaccardJoin
 from oncospan.llm.queries import MIX_POWER, pack_documents, quality_model, table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -37,8 +37,11 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays, the one with the smallest doc_id: 5-word shingles, 0.8."""
-    groups = JaccardJoin(Scratch(spark), words=5, num=80, den=100).groups(docs)
-    copies = groups.filter("component_id <> doc_id").select("doc_id").distinct()
+    scratch = Scratch(spark)
+    groups = JaccardJoin(scratch, words=5, num=80, den=100).groups(docs)
+    copies = scratch.write(groups.filter("component_id <> doc_id").select("doc_id").distinct(), "copies")
+    if copies.count() <= BROADCAST_IDS:  # else both sides meet in a shuffle
+        copies = F.broadcast(copies)
     return docs.join(copies, "doc_id", "left_anti").select(*COLUMNS)
 
 

@@ -13,7 +13,8 @@ one row each. All pairs of classes with Jaccard >= num / den are found:
    connect nearly all of a group of near copies, with as many pairs as members.
 4. *Blocks.* Tiles whose classes are still in several components are split into blocks of bounded size, and pairs of
    blocks are compared in full: sizes, then bitmaps, whose differing bits bound the overlap from above. Pairs inside one
-   component need no comparison, as they can't change a component.
+   component need no comparison, as they can't change a component. A first round takes the best pair of each two
+   components of a tile, which joins most of them; a second takes every pair that is left.
 5. Pairs that pass both bounds meet the shingle arrays and are decided by exact intersection.
 
 Links that join classes already connected may go unlisted; every pair that decides a component is compared, so
@@ -24,6 +25,7 @@ no component. Only ``doc_id`` and ``text`` are read.
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Callable
 from dataclasses import dataclass, field
@@ -38,6 +40,7 @@ from oncospan.llm.common import Scratch, block_tiles, borders, components, map_a
 BITS = 1024
 BLOCK_ROWS = 512
 BROADCAST_IDS = 500_000  # ids of 8 bytes: at most this many are sent to every executor, more are shuffled
+BROADCAST_PAIRS = 200_000  # two ids each
 CACHE_WORDS = 200_000
 _P = np.uint64(0x9E3779B97F4A7C15)
 
@@ -128,11 +131,15 @@ def bitmap(h: np.ndarray) -> bytes:
     return np.packbits(bits).tobytes()
 
 
-def may_link(num: int, den: int, n_a, n_b, map_a: np.ndarray, map_b: np.ndarray) -> np.ndarray:
+def overlap_bound(n_a, n_b, map_a: np.ndarray, map_b: np.ndarray) -> np.ndarray:
     """Bitmaps as (rows, BITS / 64) words. A bit that only one bitmap has stands for a shingle that only one set has."""
     only_a = np.bitwise_count(map_a & ~map_b).sum(1, dtype=np.int64)
     only_b = np.bitwise_count(map_b & ~map_a).sum(1, dtype=np.int64)
-    overlap = np.minimum(n_a - only_a, n_b - only_b)
+    return np.minimum(n_a - only_a, n_b - only_b)
+
+
+def may_link(num: int, den: int, n_a, n_b, map_a: np.ndarray, map_b: np.ndarray) -> np.ndarray:
+    overlap = overlap_bound(n_a, n_b, map_a, map_b)
     return den * overlap >= num * (n_a + n_b - overlap)
 
 
@@ -173,7 +180,8 @@ class JaccardJoin:
         docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
         sets = scratch.write(self._sets(docs), "sets")
         owned = sets.filter("doc_id is not null and n_shingles > 0")
-        classes = owned.groupBy("class_id", "check").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
+        classes = scratch.write(owned.groupBy("class_id", "check").agg(
+            F.min("doc_id").alias("rep"), F.count("*").alias("copies")), "classes")
         tiles = scratch.write(self._tiles(docs.filter("doc_id is not null")), "tiles")
         live = scratch.write(tiles.groupBy("class_id").agg(F.count("*").alias("degree"))
                              .join(classes.select("class_id", "rep"), "class_id"), "live")
@@ -183,11 +191,14 @@ class JaccardJoin:
         scratch.drop(tiles)
         tried = scratch.write(self._hub_pairs(rows).distinct(), "hub_pairs")
         first = scratch.write(self._verified(tried, members), "links")
-        more = scratch.write(self._block_pairs(rows, components(first, scratch), members).distinct()
-                             .join(tried, ["a", "b"], "left_anti"), "block_pairs")
-        second = scratch.write(self._verified(more, members), "links")
+        links = first
+        for best in (True, False):
+            more = scratch.write(self._block_pairs(rows, components(links, scratch), members, best).distinct()
+                                 .join(tried, ["a", "b"], "left_anti"), "block_pairs")
+            found = scratch.write(self._verified(more, members), "links")
+            links, tried = links.unionByName(found), tried.unionByName(more)
         scratch.drop(rows)
-        return sets, first.unionByName(second), classes
+        return sets, links, classes
 
     # -------------------------------------------------------- sets and tiles
 
@@ -308,13 +319,16 @@ class JaccardJoin:
         met = rows.repartition("sig").sortWithinPartitions("sig", F.desc("degree"), "rep")
         return map_arrow(met, make, "a long, b long")
 
-    def _block_pairs(self, rows: DataFrame, found: DataFrame, members: DataFrame) -> DataFrame:
-        """Pairs of a tile that lie in different components and pass the size and bitmap bounds."""
+    def _block_pairs(self, rows: DataFrame, found: DataFrame, members: DataFrame, best: bool) -> DataFrame:
+        """Pairs of a tile that lie in different components and pass the size and bitmap bounds; with ``best`` the one
+        of the largest bound for each two components of a tile."""
         num, den = self.num, self.den
         named = rows.join(found.withColumnRenamed("node", "rep"), "rep", "left").select(
             "sig", "rep", F.coalesce("component", "rep").alias("component"))
-        open_tiles = (named.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-                      .filter("lo <> hi").select("sig"))
+        # of two classes, one is the hub: that pair has been compared
+        open_tiles = (named.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
+                                               F.count("*").alias("size"))
+                      .filter("lo <> hi and size > 2").select("sig"))
         left = self.scratch.write(named.join(open_tiles, "sig"), "open_rows")
         tiled = block_tiles(left, ["sig"], "rep", BLOCK_ROWS)
         full = tiled.join(members.select("rep", "n", "bitmap"), "rep")
@@ -323,21 +337,30 @@ class JaccardJoin:
             def step(c: dict) -> dict:
                 out_a, out_b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
                 heads = borders(c, ["sig", "_i", "_j"])
-                maps = _bitmaps(c["bitmap"])
-                for lo, hi in zip(heads, [*heads[1:], len(c["sig"])], strict=True):
-                    side, n, group = c["_side"][lo:hi], c["n"][lo:hi], c["component"][lo:hi]
-                    first = np.flatnonzero(side == c["_i"][lo])
-                    second = np.flatnonzero(side == c["_j"][lo])
-                    for a in first:
-                        b = second if c["_i"][lo] != c["_j"][lo] else second[second > a]
-                        b = b[group[b] != group[a]]
-                        b = b[den * np.minimum(n[b], n[a]) >= num * np.maximum(n[b], n[a])]
-                        if len(b):
-                            b = b[may_link(num, den, n[a], n[b], maps[lo + a], maps[lo + b])]
-                            one, two = np.full(len(b), c["rep"][lo + a]), c["rep"][lo + b]
-                            out_a.append(np.minimum(one, two))
-                            out_b.append(np.maximum(one, two))
-                return {"a": np.concatenate(out_a), "b": np.concatenate(out_b)}
+                ends = np.repeat([*heads[1:], len(c["sig"])], np.diff([*heads, len(c["sig"])]))
+                maps, rep, n, group = _bitmaps(c["bitmap"]), c["rep"], c["n"], c["component"]
+                whole = c["_i"] == c["_j"]  # a block with itself: all its pairs; else one row from each block
+                a = np.arange(len(rep))
+                for d in range(1, len(rep)):
+                    a = a[a + d < ends[a]]
+                    if not len(a):
+                        break
+                    b = a + d
+                    ok = (group[a] != group[b]) & (whole[a] | (c["_side"][a] != c["_side"][b]))
+                    ok &= den * np.minimum(n[a], n[b]) >= num * np.maximum(n[a], n[b])
+                    one, two = a[ok], b[ok]
+                    near = may_link(num, den, n[one], n[two], maps[one], maps[two])
+                    out_a.append(one[near])
+                    out_b.append(two[near])
+                one, two = np.concatenate(out_a), np.concatenate(out_b)
+                if best and len(one):
+                    bound = overlap_bound(n[one], n[two], maps[one], maps[two]) / (n[one] + n[two])
+                    low, high = np.minimum(group[one], group[two]), np.maximum(group[one], group[two])
+                    order = np.lexsort((-bound, high, low, ends[one]))
+                    tile = np.stack([ends[one], low, high])[:, order]
+                    first = np.concatenate([[True], (tile[:, 1:] != tile[:, :-1]).any(0)])
+                    one, two = one[order][first], two[order][first]
+                return {"a": np.minimum(rep[one], rep[two]), "b": np.maximum(rep[one], rep[two])}
 
             return step
 
@@ -363,17 +386,25 @@ class JaccardJoin:
         def exact() -> Callable[[dict], dict]:
             def step(c: dict) -> dict:
                 out = []
-                for a, b, one, two in zip(*(c[k].to_pylist() for k in ("a", "b", "shingles_a", "shingles_b")),
-                                          strict=True):
-                    one, two = np.frombuffer(one, np.uint64), np.frombuffer(two, np.uint64)
-                    overlap = len(np.intersect1d(one, two, assume_unique=True))
-                    if den * overlap >= num * (len(one) + len(two) - overlap):
-                        out.append((a, b, overlap))
+                for a, b, ones, twos in zip(*(c[k].to_pylist() for k in ("a", "b", "ones", "twos")), strict=True):
+                    for one, two in itertools.product(ones, twos):  # several sets: rows that share a doc_id
+                        one, two = np.frombuffer(one, np.uint64), np.frombuffer(two, np.uint64)
+                        overlap = len(np.intersect1d(one, two, assume_unique=True))
+                        if den * overlap >= num * (len(one) + len(two) - overlap):
+                            out.append((a, b, overlap))
                 return {"a": [x[0] for x in out], "b": [x[1] for x in out], "overlap": [x[2] for x in out]}
 
             return step
 
         bounded = pairs.join(side("a", "n", "bitmap"), "a").join(side("b", "n", "bitmap"), "b")
-        near = map_arrow(bounded, bound, "a long, b long").distinct()
-        return map_arrow(near.join(side("a", "shingles"), "a").join(side("b", "shingles"), "b"), exact,
-                         "a long, b long, overlap long")
+        near = self.scratch.write(map_arrow(bounded, bound, "a long, b long").distinct(), "near")
+        # pairs go to the sets where they are few enough to send, else both meet in a shuffle; arrays move once per pair
+        pairs = F.broadcast(near) if near.count() <= BROADCAST_PAIRS else near
+        none = F.lit(None).cast("binary")
+        one = members.select(F.col("rep").alias("a"), "shingles").join(pairs, "a").select(
+            "a", "b", F.col("shingles").alias("one"), none.alias("two"))
+        two = members.select(F.col("rep").alias("b"), "shingles").join(pairs, "b").select(
+            "a", "b", none.alias("one"), F.col("shingles").alias("two"))
+        met = one.unionByName(two).groupBy("a", "b").agg(F.collect_list("one").alias("ones"),
+                                                         F.collect_list("two").alias("twos"))
+        return map_arrow(met, exact, "a long, b long, overlap long")
