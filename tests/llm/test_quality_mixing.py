@@ -94,6 +94,30 @@ def test_sample_follows_the_weights(spark):
     assert chosen == pytest.approx(drawn, rel=0.1)
 
 
+def measured_rows(spark, rows):
+    """Rows of (source, lang, documents) with 100 tokens and one topic each."""
+    made = [(f"{s}-{lang}-{i}", s, lang, 0, 100) for s, lang, n in rows for i in range(n)]
+    return spark.createDataFrame(made, "doc_id string, source string, lang string, topic int, tokens long")
+
+
+def test_targets_far_from_natural_shares_are_met(spark):
+    docs = measured_rows(spark, [("s", "en", 900), ("s", "de", 100)])
+    mix = mixing.fit(docs, Scratch(spark), languages={"en": 0.5, "de": 0.5}, power=1.0)
+    drawn = dict(mix.decide(docs).groupBy("lang").agg(F.sum(F.col("tokens") * F.col("probability"))).collect())
+    assert drawn["de"] / sum(drawn.values()) == pytest.approx(0.5, abs=0.005)
+    assert mix.error <= 0.0101 and mix.kept == pytest.approx(0.2, rel=0.02)
+    trimmed = mixing.fit(docs, Scratch(spark), trim=1.5, languages={"en": 0.5, "de": 0.5}, power=1.0)
+    assert trimmed.kept > 0.4 and trimmed.error == pytest.approx(0.54, abs=0.02)  # de has 0.15 / 0.65
+
+
+def test_targets_of_zero_drop_their_documents(spark):
+    docs = measured_rows(spark, [("s", "en", 50), ("s", "de", 50), ("t", "en", 50)])
+    wanted = spark.createDataFrame([("s", 1.0), ("t", 0.0)], "source_key string, target double")
+    got = mixing.fit(docs, Scratch(spark), source_targets=wanted, languages={"en": 1.0, "de": 0.0}, power=1.0).decide(docs)
+    kept = {(r.source, r.lang): r.probability for r in got.collect()}
+    assert kept == {("s", "en"): 1.0, ("s", "de"): 0.0, ("t", "en"): 0.0}
+
+
 def test_mix_odd_rows(spark):
     rows = [(1, None, "en", "s"), (2, "", None, None), (3, "one two three", None, "s"), (None, "a b", "en", None),
             (4, "w " * 50_000, "en", "s"), (5, "one two three", "de", "t"), (5, "one two three", "de", "t")]
