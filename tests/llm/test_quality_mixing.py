@@ -118,6 +118,16 @@ def test_targets_of_zero_drop_their_documents(spark):
     assert kept == {("s", "en"): 1.0, ("s", "de"): 0.0, ("t", "en"): 0.0}
 
 
+def test_small_sources_have_their_targets(spark):
+    docs = measured_rows(spark, [(f"s{i}", "en", 4) for i in range(400)])
+    wanted = spark.createDataFrame([(f"s{i}", 2.0 if i < 200 else 1.0) for i in range(400)], "source_key string, target double")
+    mix = mixing.fit(docs, Scratch(spark), source_targets=wanted, power=1.0)
+    got = mix.decide(docs).groupBy("source").agg(F.sum(F.col("tokens") * F.col("probability")).alias("n")).collect()
+    whole = sum(r.n for r in got)
+    assert all(r.n / whole == pytest.approx((2 if int(r.source[1:]) < 200 else 1) / 600, rel=0.006) for r in got)
+    assert mix.error <= 0.006
+
+
 def test_mix_odd_rows(spark):
     rows = [(1, None, "en", "s"), (2, "", None, None), (3, "one two three", None, "s"), (None, "a b", "en", None),
             (4, "w " * 50_000, "en", "s"), (5, "one two three", "de", "t"), (5, "one two three", "de", "t")]
