@@ -1,7 +1,8 @@
 """License scans over web pages, in DataFrame functions alone.
 
-1. *Headers.* A header is a sentence of a page's visible text that has a licence word. A licence file (LICENSE, COPYING,
-   NOTICE ...) is compared as a whole.
+1. *Headers.* A header is a sentence of a page's visible text that has a licence word, or three words in a row of a
+   template without one. A licence file (LICENSE, COPYING, NOTICE ...) is compared as a whole. A newline in the source is
+   white space; a blank line ends a sentence in text without block tags and in pages with <pre>.
 2. *TF-IDF cosine.* Headers and templates are sparse vectors of words, weighted by how rare a word is among all headers
    and templates. Equal headers are one vector; words that no header and template share never meet. A header has the
    licence of the template with the largest cosine, from ``least`` upwards.
@@ -16,6 +17,8 @@ the result. Only ``page_id``, ``url`` and ``html`` are read.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -51,16 +54,33 @@ TEMPLATES = (
 )
 
 
+def signs(statements: tuple[tuple[str, str], ...]) -> str:
+    """Pattern that every template passes: a licence word, or three words in a row of a template without one."""
+    found = [LICENCE_WORD + "|\u00a9"]
+    for _, text in statements:
+        if not re.search(LICENCE_WORD, text):
+            words = re.findall(r"[^\W_]+", text)
+            found += [r"[^\p{L}\p{N}]+".join(words[i:i + 3]) for i in range(len(words) - 2)]
+    return "|".join(found)
+
+
+SIGN = signs(TEMPLATES)
+BLOCK = (r"(p|br|div|li|ul|ol|tr|td|th|table|h[1-6]|header|footer|nav|article|section|title|head|body|html|pre|blockquote)"
+         r"\b")
+
+
 # ------------------------------------------------------------ pages
 
 def visible_text(html: Column) -> Column:
     """Text of a page: no scripts, styles, comments or tags; tags that end a block end a line."""
     text = F.regexp_replace(html, r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->", " ")
-    text = F.regexp_replace(text, r"(?i)</?(p|br|div|li|ul|ol|tr|td|th|table|h[1-6]|header|footer|nav|article|section|"
-                                  r"title|head|body|html|pre|blockquote)\b[^>]*>", "\n")
+    flows = text.rlike(r"(?i)<" + BLOCK) & ~text.rlike(r"(?i)<pre\b")
+    text = F.when(flows, text).otherwise(F.regexp_replace(text, r"\s*\n[ \t\r]*\n\s*", "\u2029"))
+    text = F.regexp_replace(text, r"\s+", " ")
+    text = F.regexp_replace(text, r"(?i)</?" + BLOCK + r"[^>]*>|\u2029", "\n")
     text = F.regexp_replace(text, r"<[^>]*>", "")
-    return F.replace(F.replace(F.replace(text, F.lit("&nbsp;"), F.lit(" ")), F.lit("&copy;"), F.lit("copyright")),
-                     F.lit("&amp;"), F.lit("&"))
+    text = F.regexp_replace(text, r"(?i)&copy;|&#169;|&#xa9;|\u00a9", "copyright ")
+    return F.replace(F.replace(text, F.lit("&nbsp;"), F.lit(" ")), F.lit("&amp;"), F.lit("&"))
 
 
 def place_of(pages: DataFrame) -> DataFrame:
@@ -78,10 +98,9 @@ def place_of(pages: DataFrame) -> DataFrame:
 
 
 def headers(pages: DataFrame) -> DataFrame:
-    """(page_id, header): the sentences with a licence word; a licence file's whole text."""
-    likely = pages.filter(F.col("is_licence") | F.col("html").rlike(LICENCE_WORD) | F.col("html").contains("&copy;"))
-    text = likely.withColumn("_t", visible_text(F.col("html")))
-    sentences = F.filter(F.split("_t", r"\n+|(?<=[.!?;])\s+"), lambda s: s.rlike(LICENCE_WORD))
+    """(page_id, header): the sentences with a sign of a licence; a licence file's whole text."""
+    text = pages.withColumn("_t", visible_text(F.col("html")))  # of every page: tags may part the words of a sign
+    sentences = F.filter(F.split("_t", r"\n+|(?<=[.!?;])\s+"), lambda s: s.rlike(SIGN))
     rows = text.select("page_id", F.explode(F.when(F.col("is_licence"), F.array("_t")).otherwise(sentences)).alias("_h"))
     return rows.select("page_id", F.trim(F.regexp_replace(F.lower("_h"), r"[^\p{L}\p{N}.-]+", " ")).alias("header")
                        ).filter("header <> ''")

@@ -142,6 +142,29 @@ def test_cosine_equals_plain(spark):
     assert all(got[h][1] == pytest.approx(want[h][1], abs=1e-6) for h in want)
 
 
+def licence_of(spark, pages):
+    """Licences of (url, html), in order."""
+    frame = spark.createDataFrame([(i, *r) for i, r in enumerate(pages)], PAGES)
+    got = {r.page_id: r.licence for r in licenses.scan(frame, Scratch(spark)).collect()}
+    return [got[i] for i in range(len(pages))]
+
+
+def test_every_template_passes_the_prefilter(spark):
+    rows = [(i, f"http://t{i}.org/a.html", f"<p>{t}</p>") for i, (_, t) in enumerate(licenses.TEMPLATES)]
+    frame = licenses.place_of(spark.createDataFrame(rows, PAGES))
+    assert {r.page_id for r in licenses.headers(frame).collect()} == set(range(len(rows)))
+
+
+def test_wrapped_headers_and_signs(spark):
+    pages = ["<p>This work is licensed under a Creative Commons\nAttribution-ShareAlike 4.0 International\r\nLicense.</p>",
+             "<p>Permission is <b>hereby</b> granted, free of charge, to any person\nobtaining a copy of this software.</p>",
+             "<div>\u00a9 2020, all rights\nreserved</div>", "<div>&#169;2020, all rights reserved</div>",
+             "My project\n\nReleased under\nthe MIT License\n\nInstall it with the usual tools and read on",
+             "<p>Permission is what we ask of every guest.</p>"]
+    got = licence_of(spark, [(f"http://w{i}.org/a.html", html) for i, html in enumerate(pages)])
+    assert got == ["CC-BY-SA-4.0", "MIT", "Proprietary", "Proprietary", "MIT", None]
+
+
 def test_licences_empty(spark):
     assert licenses.scan(spark.createDataFrame([], PAGES), Scratch(spark)).count() == 0
 
