@@ -1,7 +1,8 @@
 """License scans over web pages, in DataFrame functions alone.
 
 1. *Headers.* A header is a sentence of a page's visible text that has a licence word, or three words in a row of a
-   template without one. A licence file (LICENSE, COPYING, NOTICE ...) is compared as a whole. A newline in the source is
+   template without one. A licence file (LICENSE, COPYING, NOTICE ...) is compared as a whole and by its sentences: short
+   licences have their text as a template, long ones the opening of their text and their standard notice. A newline in the source is
    white space; a blank line ends a sentence in text without block tags and in pages with <pre>.
 2. *TF-IDF cosine.* Headers and templates are sparse vectors of words, weighted by how rare a word is among all headers
    and templates. Equal headers are one vector; words that no header and template share never meet. A header has the
@@ -29,6 +30,24 @@ LICENCE_WORD = r"(?i)licen[cs]e|copyright|rights reserved|public domain|creative
 LICENCE_FILE = r"(?i)^(un)?licen[cs]e([-._].*)?$|^copying([-._].*)?$|^notice([-._].*)?$|^copyright([-._].*)?$"
 INDEX_FILE = r"(?i)^(index|default|readme)([-._].*)?$"
 
+_FSF = ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU {} as published by "
+        "the Free Software Foundation, either version {} of the License, or (at your option) any later version")
+_FSF_TITLE = "GNU {} Version {} Copyright (C) {} Free Software Foundation, Inc"
+_BSD = ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+        "following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list "
+        "of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright "
+        "notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided "
+        "with the distribution. {}THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS AS IS AND ANY EXPRESS "
+        "OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A "
+        "PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, "
+        "INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF "
+        "SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY "
+        "THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN "
+        "ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE")
+_BSD_3 = ("3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+          "products derived from this software without specific prior written permission. ")
+_GPL, _AGPL, _LGPL = "General Public License", "Affero General Public License", "Lesser General Public License"
+
 # Statements by which licences are declared, by SPDX name.
 TEMPLATES = (
     ("AGPL-3.0", "licensed under the GNU Affero General Public License, version 3"),
@@ -51,6 +70,32 @@ TEMPLATES = (
     ("MPL-2.0", "subject to the terms of the Mozilla Public License, version 2.0"),
     ("Proprietary", "copyright, all rights reserved"),
     ("Unlicense", "free and unencumbered software released into the public domain"),
+    # texts, openings of texts and standard notices
+    ("AGPL-3.0", _FSF.format(_AGPL, "3")),
+    ("AGPL-3.0", _FSF_TITLE.format(_AGPL, "3, 19 November 2007", "2007")),
+    ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in "
+                   "compliance with the License"),
+    ("Apache-2.0", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/ TERMS AND CONDITIONS FOR USE, "
+                   "REPRODUCTION, AND DISTRIBUTION"),
+    ("BSD-2-Clause", _BSD.format("")),
+    ("BSD-3-Clause", _BSD.format(_BSD_3)),
+    ("CC0-1.0", "Creative Commons Legal Code CC0 1.0 Universal"),
+    ("GPL-2.0", _FSF.format(_GPL, "2")),
+    ("GPL-2.0", _FSF_TITLE.format(_GPL, "2, June 1991", "1989, 1991")),
+    ("GPL-3.0", _FSF.format(_GPL, "3")),
+    ("GPL-3.0", _FSF_TITLE.format(_GPL, "3, 29 June 2007", "2007")),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+            "granted, provided that the above copyright notice and this permission notice appear in all copies"),
+    ("LGPL-3.0", _FSF.format(_LGPL, "3")),
+    ("LGPL-3.0", _FSF_TITLE.format(_LGPL, "3, 29 June 2007", "2007")),
+    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+            "documentation files (the Software), to deal in the Software without restriction, including without limitation "
+            "the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, "
+            "and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The "
+            "above copyright notice and this permission notice shall be included in all copies or substantial portions of "
+            "the Software"),
+    ("MPL-2.0", "Mozilla Public License Version 2.0"),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
 )
 
 
@@ -98,11 +143,14 @@ def place_of(pages: DataFrame) -> DataFrame:
 
 
 def headers(pages: DataFrame) -> DataFrame:
-    """(page_id, header): the sentences with a sign of a licence; a licence file's whole text."""
+    """(page_id, is_licence, header): the sentences with a sign of a licence; of a licence file the whole text, too."""
     text = pages.withColumn("_t", visible_text(F.col("html")))  # of every page: tags may part the words of a sign
-    sentences = F.filter(F.split("_t", r"\n+|(?<=[.!?;])\s+"), lambda s: s.rlike(SIGN))
-    rows = text.select("page_id", F.explode(F.when(F.col("is_licence"), F.array("_t")).otherwise(sentences)).alias("_h"))
-    return rows.select("page_id", F.trim(F.regexp_replace(F.lower("_h"), r"[^\p{L}\p{N}.-]+", " ")).alias("header")
+    sentences = F.filter(F.split("_t", r"\n+|(?<=[.!?])\s+"), lambda s: s.rlike(SIGN))
+    parts = F.flatten(F.transform(sentences, lambda s: F.filter(F.split(s, r"(?<=;)\s+"), lambda t: t.rlike(SIGN))))
+    sentences = F.array_union(sentences, parts)  # "...; either version 2 of the License" belongs to what is before it
+    whole = F.when(F.col("is_licence"), F.array("_t")).otherwise(F.array().cast("array<string>"))
+    rows = text.select("page_id", "is_licence", F.explode(F.concat(whole, sentences)).alias("_h"))
+    return rows.select("page_id", "is_licence", F.trim(F.regexp_replace(F.lower("_h"), r"[^\p{L}\p{N}.-]+", " ")).alias("header")
                        ).filter("header <> ''")
 
 
@@ -159,10 +207,12 @@ def scan(pages: DataFrame, scratch: Scratch, least: float = LEAST) -> DataFrame:
     placed = place_of(pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html"))
     found = scratch.write(headers(placed), "found")
     matched = scratch.write(match(found, scratch, least), "matched")
-    # of several licences in a page the best match, then the first by name
+    # of several licences in a page the best match, then the first by name; a licence file's text goes before the line
+    # "all rights reserved" above it
+    reserve = F.col("is_licence") & (F.col("licence") == "Proprietary")
     scored = found.join(matched, "header").filter("page_id is not null")
     own = scratch.write(scored.groupBy("page_id").agg(
-        F.min(F.struct((-F.col("score")).alias("minus"), "licence")).alias("own"))
+        F.min(F.struct(reserve.alias("reserve"), (-F.col("score")).alias("minus"), "licence")).alias("own"))
         .select("page_id", F.col("own.licence").alias("own_licence"), (-F.col("own.minus")).alias("own_score")), "own")
     slim = placed.drop("html", "url").join(own, "page_id", "left")
     slim = scratch.write(slim, "pages")

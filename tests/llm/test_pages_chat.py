@@ -1,7 +1,9 @@
 """Chat collapse, license scans and language identification against plain Python and planted cases."""
 
+import html
 import random
 import re
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -161,10 +163,60 @@ def test_wrapped_headers_and_signs(spark):
              "<div>\u00a9 2020, all rights\nreserved</div>", "<div>&#169;2020, all rights reserved</div>",
              "My project\n\nReleased under\nthe MIT License\n\nInstall it with the usual tools and read on",
              "<p>Permission is what we ask of every guest.</p>"]
-    got = licence_of(spark, [(f"http://w{i}.org/a.html", html) for i, html in enumerate(pages)])
+    got = licence_of(spark, [(f"http://w{i}.org/a.html", page) for i, page in enumerate(pages)])
     assert got == ["CC-BY-SA-4.0", "MIT", "Proprietary", "Proprietary", "MIT", None]
 
 
+MIT_TEXT = """MIT License
+
+Copyright (c) 2021 Some One
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.
+"""
+GPL_NOTICE = """Thing, Copyright (C) 2020 Some One
+
+This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.
+"""
+
+
+def test_whole_licence_files(spark):
+    texts = [("MIT", MIT_TEXT), ("GPL-3.0", GPL_NOTICE)]
+    shared = Path("/usr/share/common-licenses")
+    for name, file in (("Apache-2.0", "Apache-2.0"), ("GPL-2.0", "GPL-2"), ("GPL-3.0", "GPL-3"), ("LGPL-3.0", "LGPL-3"),
+                       ("MPL-2.0", "MPL-2.0"), ("CC0-1.0", "CC0-1.0"), ("BSD-3-Clause", "BSD")):
+        if (shared / file).exists():
+            texts.append((name, (shared / file).read_text()))
+    made = [(name, t) for name, text in texts
+            for t in (text, f"<html><body><h1>Licence</h1><pre>{html.escape(text, quote=False)}</pre></body></html>")]
+    pages = [(f"http://f{i}.org/code/{name}", t) for i, (_, t) in enumerate(made) for name in ("LICENSE", "a/b.html")
+             for t in ([t] if name == "LICENSE" else ["<p>words</p>"])]
+    got = licence_of(spark, pages)
+    assert got == [name for name, _ in made for _ in range(2)]  # b.html inherits
+
+
 def test_licences_empty(spark):
     assert licenses.scan(spark.createDataFrame([], PAGES), Scratch(spark)).count() == 0
 
