@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from oncospan.llm import (
     chat,
+    cover_tree,
     embeddings,
     language,
     licenses,
@@ -17,12 +18,15 @@ from oncospan.llm import (
     mixing,
     order_minhash,
     packing,
+    pieces,
     quality,
+    whitening,
 )
 from oncospan.llm.common import Scratch
 from oncospan.llm.jaccard import JaccardJoin
 
 TOKENIZER = "word_bpe_49k.json"
+PIECES, END_PIECE = "piece_bpe_32k.model", 2
 MIX_POWER = 0.9  # target shares of sources, languages and topics are in proportion to tokens ** MIX_POWER
 
 
@@ -110,6 +114,27 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five hard negatives for each of five positives of every hundredth vector; every seventh label is moved on."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", moved.alias("label"), "embedding")
+    return cover_tree.mine(rows, Scratch(spark), F.col("vec_id") % 100 == 0)
+
+
+def op12_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every text and the text that they decode to, as digests."""
+    model = pieces.PieceModel.read(public_tokenizers.path(PIECES))
+    docs = pieces.decode(pieces.encode(table(spark, sf_dir, "documents"), model, END_PIECE), model)
+    decimal = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return docs.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(decimal, 256).alias("ids_sha256"),
+                       F.sha2("text", 256).alias("decoded_sha256"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select(F.col("vec_id").cast("long").alias("vec_id"), "embedding")
+    return whitening.whiten(rows, Scratch(spark))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embedding_dedup": op1_embedding_dedup,
     "op2_pack": op2_pack,
@@ -121,6 +146,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_licenses": op9_licenses,
     "op10_quality": op10_quality,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_pieces": op12_pieces,
+    "op13_whitening": op13_whitening,
 }
 
 ORACLES: dict[str, str] = {
@@ -200,4 +228,25 @@ judged AS (
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY n) FILTER (NOT dropped), '')) AS kept_sha256
 FROM judged GROUP BY doc_id""",
+    "op11_hard_negatives": """
+WITH usable AS (
+    SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda c: floor(256 * c::DOUBLE)::BIGINT) AS x
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+      AND list_sum(list_transform(embedding, lambda c: CASE WHEN c IS NULL OR NOT isfinite(c) THEN 1 ELSE 0 END)) = 0),
+scored AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+           list_sum(list_transform(list_zip(a.x, b.x), lambda p: p[1] * p[2]))::BIGINT AS score
+    FROM usable a JOIN usable b ON a.vec_id <> b.vec_id AND len(a.x) = len(b.x) WHERE a.vec_id % 100 = 0),
+positive AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+placed AS (
+    SELECT p.anchor_id, p.positive_id, n.vec_id AS negative_id, p.positive_score, n.score AS negative_score,
+           row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY n.score DESC, n.vec_id) AS rank
+    FROM positive p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.same
+    WHERE 80 * p.positive_score <= 100 * n.score AND 100 * n.score <= 100 * p.positive_score)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score
+FROM placed WHERE rank <= 5""",
 }
