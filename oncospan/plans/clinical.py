@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from oncospan.operators.factored import FactoredLinks
 from oncospan.operators.ids import number_rows
 from oncospan.operators.lookup import lookup, map_slice
 from oncospan.operators.sets import union_all
@@ -168,23 +169,30 @@ def condition_links(temp_condition: DataFrame, mappings: DataFrame) -> DataFrame
             .drop("condition_concept_id", "_target").distinct().drop("source_vocabulary_id", "source_concept_id"))
 
 
-def _link(rows: DataFrame, links: DataFrame, equal_codes: bool) -> DataFrame:
-    """Rows with the conditions of their own tumor, so a person's rows grow by the tumor's few conditions.
+CODE_KEYS = ["person_id", "icdo3"]
 
-    ``equal_codes`` links every condition of the person with the same ICD-O-3 code, of whichever tumor: N tumors of one
-    code and M events give N x M rows.
-    """
-    same = F.col("icdo3") == F.col("_icdo3")
+
+def equal_code_links(rows: DataFrame, links: DataFrame) -> FactoredLinks:
+    """Measurements or observations with the conditions of their person that have the same ICD-O-3 code, of whichever
+    tumor: N conditions and M events of one code are N x M links, so they stay factorised until they are written."""
+    partners = links.select(F.col("_person").alias("person_id"), F.col("_icdo3").alias("icdo3"),
+                            "condition_occurrence_id")
+    return FactoredLinks(rows, partners, CODE_KEYS)
+
+
+def _link(rows: DataFrame, links: DataFrame, equal_codes: bool) -> DataFrame:
+    """Rows with the conditions of their own tumor, so a person's rows grow by the tumor's few conditions, or with
+    all conditions of the person that have the same code (``equal_codes``)."""
     if equal_codes:
-        same &= F.col("person_id") == F.col("_person")
-    else:
-        same &= (F.col("pat_id") == F.col("_pat")) & (F.col("tumor_id") == F.col("_tumor"))
+        return equal_code_links(rows, links).expand().drop("icdo3", "pat_id", "tumor_id")
+    same = ((F.col("icdo3") == F.col("_icdo3")) & (F.col("pat_id") == F.col("_pat"))
+            & (F.col("tumor_id") == F.col("_tumor")))
     return rows.join(links, same, "left").drop("_person", "_icdo3", "_pat", "_tumor", "icdo3", "pat_id", "tumor_id")
 
 
-def measurement(tumor: DataFrame, events: dict[str, DataFrame], meta: DataFrame, links: DataFrame,
-                stage: Stage, split_sites: bool = False, link_equal_codes: bool = False) -> DataFrame:
-    """Laterality, grading, stage groups, diagnostic certainty, metastasis site and residual status.
+def measurement_rows(tumor: DataFrame, events: dict[str, DataFrame], meta: DataFrame,
+                     split_sites: bool = False) -> DataFrame:
+    """Laterality, grading, stage groups, diagnostic certainty, metastasis site and residual status, not yet linked.
 
     ``split_sites`` looks up each entry of a metastasis list; by default the whole list must equal a code.
     """
@@ -218,7 +226,11 @@ def measurement(tumor: DataFrame, events: dict[str, DataFrame], meta: DataFrame,
         .alias("measurement_concept_id"), "measurement_date",
         F.when(as_value, F.col("concept_id")).cast("long").alias("value_as_concept_id"), "provider_id",
         "visit_occurrence_id", "measurement_source_value", "icdo3", "pat_id", "tumor_id")
-    found = found.filter("measurement_concept_id is not null").distinct()
+    return found.filter("measurement_concept_id is not null").distinct()
+
+
+def measurement(found: DataFrame, links: DataFrame, stage: Stage, link_equal_codes: bool = False) -> DataFrame:
+    """Numbered measurements with the conditions that they link to."""
     linked = _link(found, links, link_equal_codes).withColumnRenamed("condition_occurrence_id", "measurement_event_id")
     order = ["measurement_date", "person_id", "visit_occurrence_id", "measurement_concept_id",
              "measurement_source_value", "value_as_concept_id", "measurement_event_id"]
@@ -228,13 +240,14 @@ def measurement(tumor: DataFrame, events: dict[str, DataFrame], meta: DataFrame,
         "meas_event_field_concept_id": F.lit(CONDITION_FIELD)}), "measurement")
 
 
-def observation(tumor: DataFrame, events: dict[str, DataFrame], mappings: DataFrame, meta: DataFrame,
-                links: DataFrame, stage: Stage, link_equal_codes: bool = False) -> DataFrame:
-    """Watchful therapy types, tumor morphology and tumor topography."""
+def observation_rows(tumor: DataFrame, events: dict[str, DataFrame], mappings: DataFrame,
+                     meta: DataFrame) -> DataFrame:
+    """Watchful therapy types, tumor morphology and tumor topography, not yet linked."""
     tumor = tumor.filter("person_id is not null")
 
     def rows(df: DataFrame, source: str, date: str, source_concept: Column, tumor_id: str = "Tumor_ID") -> DataFrame:
-        return df.select("person_id", "pat_id", F.col(tumor_id).alias("tumor_id"), "observation_concept_id", F.col(date).alias("observation_date"),
+        return df.select("person_id", "pat_id", F.col(tumor_id).alias("tumor_id"), "observation_concept_id",
+                         F.col(date).alias("observation_date"),
                          F.col("inzidenzort_com").alias("provider_id"), F.col("visit").alias("visit_occurrence_id"),
                          F.col(source).alias("observation_source_value"),
                          source_concept.cast("long").alias("observation_source_concept_id"), "icdo3")
@@ -248,13 +261,17 @@ def observation(tumor: DataFrame, events: dict[str, DataFrame], mappings: DataFr
                            & (F.col("source_vocabulary_id") == "ICDO3") & (F.col("target_vocabulary_id") == "SNOMED"),
                            "source_code", **outputs)
     therapies = events["systemtherapie"].filter("has_tumor and person_id is not null and icdo3 is not null")
-    found = union_all([
+    return union_all([
         rows(lookup(therapies, F.col("Therapieart"), types), "Therapieart", "event_start", F.lit(None), "Tumor_ID_FK"),
         rows(lookup(tumor, F.col("Primaertumor_Morphologie_ICD_O"), morphology),
              "Primaertumor_Morphologie_ICD_O", "Diagnosedatum", F.col("mapped_from")),
         rows(lookup(tumor, F.col("Primaertumor_Topographie_ICD_O"), topography),
              "Primaertumor_Topographie_ICD_O", "Diagnosedatum", F.col("mapped_from")),
     ]).filter("observation_concept_id is not null and observation_date is not null").distinct()
+
+
+def observation(found: DataFrame, links: DataFrame, stage: Stage, link_equal_codes: bool = False) -> DataFrame:
+    """Numbered observations with the conditions that they link to."""
     linked = _link(found, links, link_equal_codes).withColumnRenamed("condition_occurrence_id", "observation_event_id")
     order = ["observation_date", "person_id", "visit_occurrence_id", "observation_concept_id",
              "observation_source_value", "observation_source_concept_id", "observation_event_id"]

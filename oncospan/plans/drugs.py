@@ -49,8 +49,11 @@ def atc_codes(substances: DataFrame, mappings: DataFrame) -> DataFrame:
 
 
 def with_atc(systemic: DataFrame, atc: DataFrame) -> DataFrame:
+    """Rows with the code of their substance. Rows without a substance, perhaps many, don't meet in the join."""
     found = atc.filter("substances_atc is not null").select(F.col("substances").alias("_substance"), "substances_atc")
-    return systemic.join(found, F.col("substances") == F.col("_substance"), "left").drop("_substance")
+    known = systemic.filter("substances is not null").join(found, F.col("substances") == F.col("_substance"), "left")
+    rest = systemic.filter("substances is null").withColumn("substances_atc", F.lit(None).cast("string"))
+    return known.drop("_substance").unionByName(rest)
 
 
 def temp_drug_exposure(systemic_atc: DataFrame, mappings: DataFrame, stage: Stage) -> DataFrame:

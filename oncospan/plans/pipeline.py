@@ -12,9 +12,11 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from oncospan.operators.factored import FactoredLinks
 from oncospan.operators.sets import union_all
 from oncospan.plans import clinical, drugs, episodes, person, prep, regimens, reports
 from oncospan.session import tune
+from oncospan.sources import sinks
 from oncospan.staging import Stage
 
 REQUIRED = ("patient", "tumor", "op", "systemtherapie", "strahlentherapie", "fe", "inzidenzort_mapping", "meta",
@@ -23,16 +25,24 @@ CDM_TABLES = ("person", "observation_period", "death", "visit_occurrence", "cond
               "procedure_occurrence", "measurement", "observation", "episode", "episode_event", "care_site", "provider")
 
 
+class _NotAtRest(dict):
+    """Sources of a CDM at rest: what only the registry's files hold is named in the error."""
+
+    def __missing__(self, name: str):
+        raise ValueError(f"a CDM at rest has no source table {name}")
+
+
 class RegistryPipeline:
     """CDM tables and reports from registry sources.
 
-    ``lookback_days`` 0 groups regimens by day, 30 looks back a month. ``t4_invasive``, ``split_sites`` and
-    ``distinct_ingredients`` switch the rules named in the builders.
+    ``lookback_days`` 0 groups regimens by day, 30 looks back a month. ``link_equal_codes`` links measurements and
+    observations to all conditions of the person with the same code instead of those of their tumor. ``t4_invasive``,
+    ``split_sites`` and ``distinct_ingredients`` switch the rules named in the builders.
     """
 
     def __init__(self, spark: SparkSession, sources: Mapping[str, DataFrame], stage: Stage | None = None, *,
                  lookback_days: int = 0, t4_invasive: list[str] | None = None, split_sites: bool = False,
-                 distinct_ingredients: bool = False):
+                 distinct_ingredients: bool = False, link_equal_codes: bool = False):
         missing = [name for name in REQUIRED if name not in sources]
         if missing:
             raise ValueError(f"missing source tables: {', '.join(missing)}")
@@ -43,6 +53,24 @@ class RegistryPipeline:
         self.t4_invasive = t4_invasive
         self.split_sites = split_sites
         self.distinct_ingredients = distinct_ingredients
+        self.link_equal_codes = link_equal_codes
+
+    @classmethod
+    def from_cdm(cls, spark: SparkSession, folder: str, vocabulary: Mapping[str, DataFrame],
+                 stage: Stage | None = None) -> RegistryPipeline:
+        """Reports over a written CDM: its tables are read from ``folder`` and nothing is built again.
+
+        ``vocabulary`` holds concept, and meta for the overview. What only the registry's records hold (the prepared
+        patients, regimens, states) is not available.
+        """
+        self = cls.__new__(cls)
+        self.spark, self.stage, self.sources = tune(spark), stage or Stage(spark), _NotAtRest(vocabulary)
+        self.__dict__.update(sinks.read_tables(spark, folder))
+        return self
+
+    def write_cdm(self, folder: str) -> dict[str, int]:
+        """Write the whole CDM, which readers see from one moment on. Returns the rows of each table."""
+        return sinks.write_tables(self.cdm(), folder)
 
     def close(self) -> None:
         """Delete the stage tables; no frame of this pipeline can be read afterwards."""
@@ -174,15 +202,30 @@ class RegistryPipeline:
     def condition_links(self) -> DataFrame:
         return clinical.condition_links(self.temp_condition, self.mappings)
 
+    @cached_property
+    def measurement_rows(self) -> DataFrame:
+        return clinical.measurement_rows(self.tumor, self.events, self.meta, self.split_sites)
+
     @cached_property
     def measurement(self) -> DataFrame:
-        return clinical.measurement(self.tumor, self.events, self.meta, self.condition_links, self.stage,
-                                    self.split_sites)
+        return clinical.measurement(self.measurement_rows, self.condition_links, self.stage, self.link_equal_codes)
+
+    @cached_property
+    def observation_rows(self) -> DataFrame:
+        return clinical.observation_rows(self.tumor, self.events, self.mappings, self.meta)
 
     @cached_property
     def observation(self) -> DataFrame:
-        return clinical.observation(self.tumor, self.events, self.mappings, self.meta, self.condition_links,
-                                    self.stage)
+        return clinical.observation(self.observation_rows, self.condition_links, self.stage, self.link_equal_codes)
+
+    @cached_property
+    def measurement_code_links(self) -> FactoredLinks:
+        """Links by equal code, factorised: ``groups`` has their counts, ``expand`` writes them out."""
+        return clinical.equal_code_links(self.measurement_rows, self.condition_links)
+
+    @cached_property
+    def observation_code_links(self) -> FactoredLinks:
+        return clinical.equal_code_links(self.observation_rows, self.condition_links)
 
     # ------------------------------------------------------------ regimens and episodes
 

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from pathlib import Path
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from oncospan import schemas
@@ -12,14 +13,32 @@ from oncospan.operators.sets import union_all
 from oncospan.plans import quality
 from oncospan.plans.pipeline import RegistryPipeline
 from oncospan.sources import obds_xml, sinks
+from oncospan.sources.quoted_lines import DAMAGED, read_quoted
 from oncospan.sources.registry_csv import read_registry_csv
 from oncospan.sources.vocabulary import read_vocabularies
+from oncospan.staging import Stage
 
 REGISTRY = {"patient": "Patient_ID", "tumor": "Tumor_ID", "op": "OP_ID", "systemtherapie": "SYST_ID",
             "strahlentherapie": "Bestrahlung_ID", "fe": "Folgeereignis_ID"}
 PATIENTS_PER_FILE = 500
 
 
+def row_text(df: DataFrame) -> Column:
+    """All values of a row, in the order of the columns, as one text; nulls are skipped."""
+    return F.concat_ws("|", *[F.col(f"`{c}`").cast("string") for c in df.columns])
+
+
+def checksums(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """(table_name, n_rows, checksum) where the checksum covers every value of every row, in any order of the rows."""
+    def one(name: str, df: DataFrame) -> DataFrame:
+        number = F.conv(F.substring(F.md5(row_text(df)), 1, 8), 16, 10).cast("long")
+        return df.select(number.alias("h")).agg(F.count("*").alias("n_rows"),
+                                                F.coalesce(F.sum("h"), F.lit(0)).alias("checksum")).select(
+            F.lit(name).alias("table_name"), "n_rows", "checksum")
+
+    return union_all([one(name, df) for name, df in tables.items()])
+
+
 # ---------------------------------------------------------------- CSV
 
 def write_registry_csv(sources: Mapping[str, DataFrame], folder: str) -> None:
@@ -28,12 +47,14 @@ def write_registry_csv(sources: Mapping[str, DataFrame], folder: str) -> None:
 
 
 def registry_csv_rows(tables: dict[str, DataFrame]) -> DataFrame:
+    """The keys of every record and a digest of all its values."""
     def rows(name: str) -> DataFrame:
         patient = "Patient_ID" if name == "patient" else "Patient_ID_FK"
         tumor = {"patient": F.lit(None), "tumor": F.col("Tumor_ID")}.get(name, F.col("Tumor_ID_FK"))
-        return tables[name].select(F.lit(name).alias("table_name"), F.col(REGISTRY[name]).alias("record_id"),
-                                   F.col(patient).alias("patient"), F.col("Register_ID_FK").alias("register"),
-                                   tumor.cast("string").alias("tumor"))
+        df = tables[name].select(*sorted(tables[name].columns))
+        return df.select(F.lit(name).alias("table_name"), F.col(REGISTRY[name]).alias("record_id"),
+                         F.col(patient).alias("patient"), F.col("Register_ID_FK").alias("register"),
+                         tumor.cast("string").alias("tumor"), F.md5(row_text(df)).alias("content"))
 
     return union_all([rows(name) for name in REGISTRY])
 
@@ -43,6 +64,17 @@ def registry_csv(p: RegistryPipeline) -> DataFrame:
     return registry_csv_rows(read_registry_csv(p.spark, folder))
 
 
+def quoted_lines(spark: SparkSession, sf_dir: str, stage: Stage) -> DataFrame:
+    """Texts with line breaks and quotes through delimited files: (doc_id, lang, n_chars, content)."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang", "text")
+    folder = stage.next_path("quoted")
+    docs.write.options(header=True, quote='"', escape='"', quoteAll=True, ignoreLeadingWhiteSpace=False,
+                       ignoreTrailingWhiteSpace=False).csv(folder)
+    back = read_quoted(spark, folder, damaged=True)
+    return back.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", F.length("text").alias("n_chars"),
+                       F.md5("text").alias("content"), F.col(DAMAGED).alias("damaged"))
+
+
 # ---------------------------------------------------------------- vocabulary
 
 def vocabulary(sources: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
@@ -90,7 +122,8 @@ def vocabulary_concept(p: RegistryPipeline) -> DataFrame:
 
 
 def vocabulary_tables(p: RegistryPipeline) -> DataFrame:
-    return quality.row_counts(_vocabulary_files(p))
+    """Every value of all eight tables."""
+    return checksums(_vocabulary_files(p))
 
 
 # ---------------------------------------------------------------- XML
@@ -156,8 +189,8 @@ def write_obds(sources: Mapping[str, DataFrame], folder: str) -> None:
         _element("Beginn_Bestrahlung", "Datum_Beginn_Bestrahlung"), _text("Anzahl_Tage_Diagnose_ST"),
         _element("Anzahl_Tage_ST", "Anzahl_Tage_ST_Dauer"),
         F.when(F.col("Applikationsart").isNotNull(), F.struct(
-            application("Perkutan", F.get(parts, F.lit(0)).alias("Radiochemo"),
-                        F.get(parts, F.lit(1)).alias("Stereotaktisch")),
+            application("Perkutan", F.get(parts, F.lit(0)).alias("Stereotaktisch"),
+                        F.get(parts, F.lit(1)).alias("Radiochemo")),
             application("Kontakt"), application("Metabolisch", F.get(parts, F.lit(0)).alias("Metabolisch_Typ"))))
         .alias("Applikationsart"))
     st = F.struct(F.lit("P").alias("Intention"), F.lit("O").alias("Stellung_OP"),
@@ -216,33 +249,8 @@ def xml_tables(p: RegistryPipeline) -> dict[str, DataFrame]:
     return p.__dict__["obds_tables"]
 
 
-XML_COLUMNS = {
-    "patient": ["Patient_ID", "Register_ID_FK", "Geschlecht", "Geburtsdatum", "Verstorben", "Datum_Vitalstatus",
-                "Todesursache_Grundleiden"],
-    "tumor": ["Tumor_ID", "Register_ID_FK", "Patient_ID_FK", "Diagnosedatum", "Inzidenzort", "Diagnosesicherung",
-              "Primaertumor_ICD", "Primaertumor_Topographie_ICD_O", "Primaertumor_Morphologie_ICD_O",
-              "Primaertumor_LK_untersucht", "Primaertumor_LK_befallen", "Primaertumor_Grading", "cTNM_T", "cTNM_N",
-              "cTNM_M", "cTNM_UICC_Stadium", "Seitenlokalisation", "pTNM_T", "pTNM_N", "pTNM_M", "pTNM_UICC_Stadium",
-              "Anzahl_Tage_Diagnose_Tod", "Anzahl_Monate_Diagnose_Zensierung", "Primaerdiagnose_Menge_FM",
-              "Alter_bei_Diagnose"],
-    "Modul_mamma": ["Patient_ID", "Tumor_ID", "Register_ID_FK", "Modul_Mamma_Tumorseite", "Modul_Mamma_Hormonrezeptor",
-                    "Modul_Mamma_Hormonrezeptor_Status"],
-    "op": ["OP_ID", "Register_ID_FK", "Patient_ID_FK", "Tumor_ID_FK", "Intention", "Datum_OP",
-           "Anzahl_Tage_Diagnose_OP", "Beurteilung_Residualstatus", "Menge_OPS_code", "Menge_OPS_version"],
-    "systemtherapie": ["SYST_ID", "Register_ID_FK", "Patient_ID_FK", "Tumor_ID_FK", "Intention_sy", "Beginn_SYST",
-                       "Anzahl_Tage_Diagnose_SYST", "Anzahl_Tage_SYST", "Therapieart", "Substanzen", "Protokolle"],
-    "strahlentherapie": ["Bestrahlung_ID", "Register_ID_FK", "Patient_ID_FK", "Tumor_ID_FK", "Intention_st",
-                         "Stellung_OP", "Beginn_Bestrahlung", "Anzahl_Tage_Diagnose_ST", "Anzahl_Tage_ST",
-                         "Applikationsart", "Applikationsspezifikation", "Zielgebiet_CodeVersion", "Seite_Zielgebiet"],
-    "fe": ["Folgeereignis_ID", "Register_ID_FK", "Patient_ID_FK", "Tumor_ID_FK", "Datum_Folgeereignis",
-           "Folgeereignis_TNM_T", "Folgeereignis_TNM_N", "Folgeereignis_TNM_M", "Gesamtbeurteilung_Tumorstatus",
-           "Verlauf_Lokaler_Tumorstatus", "Verlauf_Tumorstatus_Lymphknoten", "Verlauf_Tumorstatus_Fernmetastasen",
-           "Menge_FM"],
-}
-
-
 def xml_table(name: str) -> Callable[[RegistryPipeline], DataFrame]:
-    return lambda p: xml_tables(p)[name].select(*XML_COLUMNS[name])
+    return lambda p: xml_tables(p)[name]
 
 
 def xml_rows(p: RegistryPipeline) -> DataFrame:
@@ -250,17 +258,76 @@ def xml_rows(p: RegistryPipeline) -> DataFrame:
     return quality.row_counts(xml_tables(p))
 
 
+# Columns that don't hold a number which depends on how the sources number their records.
+CONTENT = {
+    "person": ["person_id", "gender_concept_id", "year_of_birth", "month_of_birth", "day_of_birth", "provider_id",
+               "care_site_id", "person_source_value", "gender_source_value"],
+    "observation_period": ["person_id", "observation_period_start_date", "observation_period_end_date"],
+    "death": ["person_id", "death_date", "cause_concept_id", "cause_source_value"],
+    "visit_occurrence": ["person_id", "visit_start_date", "visit_end_date", "provider_id", "care_site_id",
+                         "visit_source_value"],
+    "condition_occurrence": ["person_id", "condition_concept_id", "condition_start_date", "condition_end_date",
+                             "provider_id", "condition_source_value", "condition_source_concept_id"],
+    "drug_exposure": ["person_id", "drug_concept_id", "drug_exposure_start_date", "drug_exposure_end_date",
+                      "days_supply", "provider_id", "drug_source_value", "drug_source_concept_id"],
+    "procedure_occurrence": ["person_id", "procedure_concept_id", "procedure_date", "procedure_end_date", "quantity",
+                             "provider_id", "procedure_source_value", "procedure_source_concept_id"],
+    "measurement": ["person_id", "measurement_concept_id", "measurement_date", "value_as_concept_id", "provider_id",
+                    "measurement_source_value"],
+    "observation": ["person_id", "observation_concept_id", "observation_date", "provider_id",
+                    "observation_source_value", "observation_source_concept_id"],
+    "care_site": ["care_site_id", "care_site_name"],
+    "provider": ["provider_id", "provider_name", "care_site_id"],
+    "episode": ["person_id", "episode_concept_id", "episode_start_date", "episode_end_date",
+                "episode_object_concept_id", "episode_source_value", "episode_source_concept_id"],
+    "episode_event": ["episode_event_field_concept_id"],
+}
+
+
+def etl_from_xml(p: RegistryPipeline) -> DataFrame:
+    """All thirteen CDM tables built from oBDS files: row counts and checksums of what the files say."""
+    tables = {name: df for name, df in xml_tables(p).items() if name in REGISTRY}
+    built = RegistryPipeline(p.spark, {**p.sources, **tables}, p.stage).cdm()
+    return checksums({name: built[name].select(*columns) for name, columns in CONTENT.items()})
+
+
 # ---------------------------------------------------------------- sinks
 
-def stage_person(p: RegistryPipeline) -> DataFrame:
+def stage_tables(p: RegistryPipeline) -> DataFrame:
+    """Persons with their dates, written to the stage and read back, all columns."""
     folder = p.stage.next_path("sink")
     sinks.write_stage(p.person_stage, folder, "person")
-    return sinks.read_table(p.spark, folder, "person").select("person_id", "person_source_value", "death_date",
-                                                              "observation_end_date")
+    return sinks.read_table(p.spark, folder, "person")
 
 
-def cdm_person(p: RegistryPipeline) -> DataFrame:
-    folder = p.stage.next_path("cdm")
-    sinks.write_cdm(p.person_stage, folder, "person")
-    sinks.write_cdm(p.person, folder, "person")  # replaces the table
-    return sinks.read_table(p.spark, folder, "person")
+def _cdm_folder(p: RegistryPipeline) -> str:
+    """A CDM at rest, written twice: the second run takes the first one's place, and the first one goes."""
+    def fill(path: str) -> None:
+        p.write_cdm(path)
+        p.write_cdm(path)
+        sinks.remove_older(p.spark, path)
+
+    return p.stage.folder("cdm", fill)
+
+
+def cdm_tables(p: RegistryPipeline) -> DataFrame:
+    """Every value of all thirteen tables read back, beside the rows counted while they were written."""
+    folder = _cdm_folder(p)
+    counted = [(name, n) for name, n in sinks.manifest(p.spark, folder)["rows"].items()]
+    written = p.spark.createDataFrame(counted, "table_name string, n_written long")
+    return checksums(sinks.read_tables(p.spark, folder)).join(written, "table_name")
+
+
+def at_rest(p: RegistryPipeline) -> RegistryPipeline:
+    """Reports over the CDM at rest."""
+    if "at_rest" not in p.__dict__:
+        p.__dict__["at_rest"] = RegistryPipeline.from_cdm(p.spark, _cdm_folder(p), {
+            name: p.sources[name] for name in ("concept", "meta")}, p.stage)
+    return p.__dict__["at_rest"]
+
+
+def sql_report(p: RegistryPipeline) -> DataFrame:
+    """A parameterised SQL file over the views of a CDM at rest."""
+    path = str(Path(__file__).resolve().parent.parent / "sql" / "episodes_by_year.sql")
+    tables = at_rest(p).cdm("episode", "person")
+    return sinks.sql_file(p.spark, path, tables, kind=32533, least=2)

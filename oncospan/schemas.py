@@ -320,6 +320,10 @@ def foreign_keys(table: str) -> dict[str, tuple[str, str]]:
     return keys
 
 
+def columns(table: str) -> list[str]:
+    return [field.name for field in TABLES[table]]
+
+
 def conform(df: DataFrame, table: str, *extra: str) -> DataFrame:
     """The columns of ``table`` in order and type, null where ``df`` has none, then any ``extra`` columns."""
     present = set(df.columns)

@@ -8,11 +8,14 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from oncospan import RegistryPipeline
+from oncospan.operators.factored import FactoredLinks
 from oncospan.operators.ids import number_in_groups, number_rows
 from oncospan.operators.intervals import events_in_intervals, state_runs
 from oncospan.operators.paths import ordered_paths, path_levels, path_nodes
 from oncospan.operators.substrings import single_hit
 from oncospan.plans import clinical
+from oncospan.sources import sinks
 
 DAY = dt.date(2020, 1, 1)
 
@@ -154,3 +157,146 @@ def test_stage_needs_a_shared_folder(spark, stage):
     stage.close()
     with pytest.raises(Exception):
         spark.read.parquet(stage.path).count()
+
+
+# ------------------------------------------------------------ factorised links
+
+def test_factored_links_equal_a_join(spark):
+    rng = random.Random(3)
+    left = [(i, rng.choice([1, 1, 1, 2, 3, None]), rng.choice(["a", "b", None])) for i in range(300)]
+    right = [(1000 + i, rng.choice([1, 1, 2, 4, None]), rng.choice(["a", "b"])) for i in range(200)]
+    right += right[:5]  # repeated partners stay
+    rows = spark.createDataFrame(left, "event int, person int, code string")
+    partners = spark.createDataFrame(right, "condition int, person int, code string")
+    for tile_rows in (4, 512):
+        links = FactoredLinks(rows, partners, ["person", "code"], tile_rows)
+        got = sorted(map(repr, links.expand().select("event", "condition").collect()))
+        want = sorted(map(repr, rows.join(partners, ["person", "code"], "left").select("event", "condition").collect()))
+        assert got == want
+        counts = {(r["person"], r["code"]): (r["n_rows"], r["n_partners"], r["n_links"]) for r in links.groups.collect()}
+        n, m = sum(r[1:] == (1, "a") for r in left), sum(r[1:] == (1, "a") for r in right)
+        assert counts[1, "a"] == (n, m, n * m) and (3, "a") not in counts
+    with pytest.raises(ValueError, match="event"):
+        FactoredLinks(rows, rows, ["person", "code"])
+
+
+def test_links_of_a_hot_key_are_linear_until_written(spark):
+    """100,000 x 100,000 links of one person are ten thousand million; the groups count them without a pair."""
+    rows = spark.range(100_000).select(F.lit(1).alias("person"), F.lit("a").alias("code"), F.col("id").alias("event"))
+    partners = spark.range(100_000).select(F.lit(1).alias("person"), F.lit("a").alias("code"), F.col("id").alias("condition"))
+    links = FactoredLinks(rows, partners, ["person", "code"])
+    assert [r["n_links"] for r in links.groups.collect()] == [10 ** 10]
+
+
+def test_links_of_a_hot_key_are_written_by_many_tasks(spark):
+    rows = spark.range(6000).select(F.lit(1).alias("person"), F.col("id").alias("event"))
+    partners = spark.range(3000).select(F.lit(1).alias("person"), F.col("id").alias("condition"))
+    expanded = FactoredLinks(rows, partners, ["person"], tile_rows=500).expand()
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        sizes = [r["n"] for r in expanded.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sum(sizes) == 18_000_000 and len(sizes) == 4 and max(sizes) < 9_000_000
+
+
+# ------------------------------------------------------------ heavy intervals, long paths
+
+def test_heavy_buckets_equal_brute_force(spark):
+    rng = random.Random(4)
+    events = [(rng.choice([1, 1, 1, 2]), i, day(rng.randint(0, 800))) for i in range(600)]
+    events += [(1, 1000 + i, day(100)) for i in range(200)]  # one day holds a third of a person's events
+    spans = [(rng.choice([1, 2]), i, day(a), day(a + rng.randint(0, 500))) for i, a in enumerate(rng.choices(range(700), k=60))]
+    got = events_in_intervals(spark.createDataFrame(spans, "p int, span int, start_date date, end_date date"),
+                              spark.createDataFrame(events, "p int, event int, event_date date"), "p", heavy=50)
+    pairs = [(r["span"], r["event"]) for r in got.collect()]
+    want = {(s, e) for p, s, a, b in spans for q, e, d in events if p == q and a <= d <= b}
+    assert len(pairs) == len(set(pairs)) and set(pairs) == want
+
+
+def test_heavy_bucket_is_spread(spark):
+    events = spark.range(200_000).select(F.lit(1).alias("p"), F.col("id").alias("event"),
+                                         F.date_add(F.lit(DAY), (F.col("id") % 300).cast("int")).alias("event_date"))
+    spans = spark.createDataFrame([(1, i, day(i), day(i + 20)) for i in range(0, 300, 50)],
+                                  "p int, span int, start_date date, end_date date")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = events_in_intervals(spans, events, "p", heavy=5000)
+        sizes = [r["n"] for r in joined.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sum(sizes) == sum(1 for i in range(200_000) for s in range(0, 300, 50) if s <= i % 300 <= s + 20)
+    assert len(sizes) == 4 and max(sizes) < 0.6 * sum(sizes)
+
+
+def test_nodes_of_a_long_path_are_linear(spark):
+    """Two paths of 5,000 steps that share 3 of them: 3 nodes are spelled out, not 10,000 prefixes."""
+    long = [[f"{name}{i}" if i >= 3 else f"s{i}" for i in range(5000)] for name in "ab"]
+    paths = spark.createDataFrame([(" -> ".join(p),) for p in long], "concept_path string")
+    got = {r["id"]: (r["parent"], r["label"], r["count"]) for r in path_nodes(paths, more_than=1).collect()}
+    assert got == {"s0": ("", "s0", 2), "s0 - s1": ("s0", "s1", 2), "s0 - s1 - s2": ("s0 - s1", "s2", 2)}
+
+
+def test_equal_labels_at_other_places_are_other_nodes(spark):
+    paths = spark.createDataFrame([("a -> b",), ("b -> a",), ("a -> a",), ("a -> a",), ("a",)], "concept_path string")
+    got = {r["id"]: r["count"] for r in path_nodes(paths, more_than=0).collect()}
+    assert got == {"a": 4, "a - b": 1, "b": 1, "b - a": 1, "a - a": 2}
+
+
+# ------------------------------------------------------------ a CDM at rest
+
+CARE_SITES = "care_site_id long, care_site_name string"
+
+
+def test_readers_see_whole_versions_only(spark, tmp_path):
+    folder = str(tmp_path / "cdm")
+    with pytest.raises(ValueError, match="no finished CDM"):
+        sinks.manifest(spark, folder)
+    first = spark.createDataFrame([(1, "a"), (2, "b")], CARE_SITES)
+    assert sinks.write_tables({"care_site": first}, folder) == {"care_site": 2}
+    old = sinks.read_tables(spark, folder)["care_site"]
+
+    @F.udf("string")
+    def fails(_):
+        raise RuntimeError("lost")
+
+    with pytest.raises(Exception, match="lost"):
+        sinks.write_tables({"care_site": first.withColumn("care_site_name", fails("care_site_name"))}, folder)
+    assert sinks.read_tables(spark, folder)["care_site"].count() == 2  # a failed run changes nothing
+    sinks.write_tables({"care_site": first.limit(1)}, folder)
+    assert old.count() == 2 and sinks.read_tables(spark, folder)["care_site"].count() == 1
+    assert sinks.remove_older(spark, folder) == 1 and sinks.manifest(spark, folder)["rows"] == {"care_site": 1}
+    assert sinks.read_tables(spark, folder)["care_site"].count() == 1
+
+
+def test_a_cdm_with_other_columns_is_refused(spark, tmp_path):
+    folder = str(tmp_path / "cdm")
+    sinks.write_tables({"care_site": spark.createDataFrame([(1, "a")], CARE_SITES)}, folder)
+    path = f"{folder}/{sinks.manifest(spark, folder)['version']}/care_site"
+    spark.createDataFrame([("x",)], "care_site_id string").write.mode("overwrite").parquet(path)
+    with pytest.raises(ValueError, match="care_site"):
+        sinks.read_tables(spark, folder)
+
+
+def test_reports_at_rest_name_what_is_missing(spark, tmp_path, stage):
+    folder = str(tmp_path / "cdm")
+    sinks.write_tables({"care_site": spark.createDataFrame([(1, "a")], CARE_SITES)}, folder)
+    pipeline = RegistryPipeline.from_cdm(spark, folder, {}, stage)
+    assert pipeline.care_site.collect()[0]["care_site_name"] == "a"
+    with pytest.raises(ValueError, match="tumor"):
+        pipeline.prepared_tumor
+
+
+def test_counts_are_taken_by_the_write(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "a"), (2, None), (None, None)], CARE_SITES)
+    counts = sinks.write_counted(rows, str(tmp_path / "t"), "t", "care_site_id", "care_site_name")
+    assert counts == {"n_rows": 3, "after_1": 2, "after_2": 1} and spark.read.parquet(str(tmp_path / "t")).count() == 3
+
+
+def test_sql_file_takes_parameters(spark, tmp_path):
+    (tmp_path / "q.sql").write_text("-- a comment\nselect count(*) as n from t\nwhere id >= :least\n")
+    assert sinks.sql_file(spark, str(tmp_path / "q.sql"), {"t": spark.range(10)}, least=4).collect()[0]["n"] == 6

@@ -15,7 +15,10 @@ REGISTRY = set(QUERIES) - set(entry.LLM_QUERIES)
 CHECKED = ["person", "observation_end_date", "visit_occurrence", "condition_occurrence", "atc_cascade", "drug_exposure",
            "procedure_occurrence", "measurement", "observation", "regimen_lookback_30d", "regimen_ingredients",
            "disease_dynamic", "disease_extent", "episode", "episode_event", "mapping_overview", "pathway_dynamics",
-           "pathway_levels", "pathway_nodes", "dq_primary_key", "src_xml_st"]
+           "pathway_levels", "pathway_nodes", "dq_primary_key", "src_xml_st", "src_xml_tumor",
+           "measurement_equal_codes", "observation_equal_codes", "equal_code_groups", "src_csv_line_breaks",
+           "src_registry_csv", "sink_cdm", "etl_from_xml", "at_rest_mapping_overview", "at_rest_patient_journey",
+           "at_rest_sql"]
 
 
 @pytest.fixture(scope="module")

@@ -1,5 +1,6 @@
 """Rules of the domain on hand-written rows."""
 
+import csv
 import datetime as dt
 
 import pytest
@@ -8,8 +9,9 @@ from pyspark.sql import functions as F
 from oncospan import RegistryPipeline
 from oncospan.functions import registry as R
 from oncospan.plans import drugs, person, regimens
-from oncospan.sources.obds_xml import read_obds, read_patients
-from oncospan.sources.registry_csv import read_registry_csv
+from oncospan.sources.obds_xml import patient_schema, read_obds, read_patients
+from oncospan.sources.quoted_lines import DAMAGED, read_quoted
+from oncospan.sources.registry_csv import damaged_records, read_registry_csv
 from oncospan.sources.vocabulary import guess_delimiter, read_vocabulary
 
 DAY = dt.date(2020, 1, 1)
@@ -178,6 +180,76 @@ def test_large_xml_file_is_split(spark, tmp_path, stage):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
+def test_schema_comes_from_every_record(spark, tmp_path):
+    patient = '<Patient Patient_ID="{0}"><Patienten_Stammdaten><Geschlecht>M</Geschlecht>{1}</Patienten_Stammdaten>' \
+        '<Menge_Tumor><Tumor Tumor_ID="t"><Primaerdiagnose>{2}</Primaerdiagnose></Tumor></Menge_Tumor></Patient>\n'
+    last = patient.format(2000, "<Nur_hier Art='x'>y</Nur_hier>", "<Modul_Prostata><PSA>4</PSA></Modul_Prostata>")
+    (tmp_path / "big.xml").write_text('<oBDS xmlns="http://x"><Lieferregister Register_ID="07"/><Menge_Patient>\n' + "".join(
+        patient.format(i, "", "") for i in range(2000)) + last + "</Menge_Patient></oBDS>\n")
+    (tmp_path / "small.xml").write_text('<oBDS><Lieferregister Register_ID="08"/><Menge_Patient>' + patient.format(
+        1, "", "<Modul_Mamma><HR>P</HR></Modul_Mamma>") + "</Menge_Patient></oBDS>")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "50k")
+    try:
+        ours = patient_schema(spark, str(tmp_path))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    whole = (spark.read.format("xml").option("rowTag", "Patient").option("ignoreNamespace", True)
+             .option("inferSchema", False).load(str(tmp_path)).schema)
+    assert ours == whole
+    tables = read_obds(spark, str(tmp_path))
+    assert {r["Nur_hier_Art"] for r in tables["patient"].filter("Nur_hier = 'y'").collect()} == {"x"}
+    assert [r["Modul_Prostata_PSA"] for r in tables["Modul_prostata"].collect()] == ["4"]
+    assert [r["Register_ID_FK"] for r in tables["Modul_mamma"].collect()] == ["08"]
+
+
+def test_radiation_keeps_the_order_of_the_file(spark, tmp_path):
+    def course(*inner):
+        return "<Menge_ST><ST><Menge_Bestrahlung>" + "".join(
+            f"<Bestrahlung><Applikationsart>{i}</Applikationsart></Bestrahlung>" for i in inner) + "</Menge_Bestrahlung></ST></Menge_ST>"
+
+    (tmp_path / "a.xml").write_text('<oBDS xmlns="http://x"><Lieferregister Register_ID="1"/><Patient Patient_ID="1"><Menge_Tumor><Tumor Tumor_ID="a">' + course(
+        "<Perkutan><Stereotaktisch>S &lt; &amp; T</Stereotaktisch><Zielgebiet><CodeVersion2021>2.1</CodeVersion2021>"
+        "<CodeVersion2014>1.4</CodeVersion2014></Zielgebiet><!-- x --><Atemgetriggert>A</Atemgetriggert><Leer/>"
+        "<Radiochemo>R1</Radiochemo><Seite_Zielgebiet>L</Seite_Zielgebiet><Radiochemo> R2 </Radiochemo></Perkutan>",
+        "<Kontakt><Rate_Type>HDR</Rate_Type></Kontakt><Sonstige><Seite_Zielgebiet>R</Seite_Zielgebiet></Sonstige>",
+        "<Metabolisch/>", "") + "</Tumor></Menge_Tumor></Patient></oBDS>")
+    names = ["Applikationsart", "Applikationsspezifikation", "Zielgebiet_CodeVersion", "Seite_Zielgebiet"]
+    rows = read_obds(spark, str(tmp_path))["strahlentherapie"].orderBy("Bestrahlung_ID").select(*names).collect()
+    assert [tuple(r) for r in rows] == [("Perkutan", "S < & T;A;R1;R2", "1.4", "L"), ("Sonstige", "HDR", None, "R"),
+                                        ("Metabolisch", None, None, None), (None, None, None, None)]
+
+
+def test_quoted_line_breaks_in_a_split_file(spark, tmp_path):
+    values = ["plain", 'with "quotes"', "two\nlines", 'x\n"\n,\n"y"\n\n', "", " lead", "tail ", "ü,;", "a\\b", "\r\nz",
+              "long " * 300 + "\n"]
+    rows = [(str(i), values[i * 7 % len(values)], "" if i % 3 else "A") for i in range(3000)]
+    with open(tmp_path / "big.csv", "w", newline="") as f:
+        writer = csv.writer(f, lineterminator="\n")
+        writer.writerows([("id", "a text", "more"), *rows])
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20k")
+    try:
+        table = read_quoted(spark, str(tmp_path / "big.csv"), damaged=True)
+        assert spark.read.text(str(tmp_path / "big.csv")).rdd.getNumPartitions() > 10
+        got = sorted((r[0], r[1] or "", r[2] or "", r[3]) for r in table.collect())
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert table.columns == ["id", "a text", "more", DAMAGED]
+    assert got == sorted((*r, False) for r in rows)
+
+
+def test_damaged_records_are_counted(spark, tmp_path):
+    for name in ("patient", "tumor", "fe", "op", "systemtherapie", "strahlentherapie"):
+        (tmp_path / f"{name}.csv").write_text("a,b\n1,x\n")
+    (tmp_path / "fe.csv").write_text('a,b\n1,"x\ny"\n2,"open\n3,y\n\n4\n5,u,v\n')
+    (tmp_path / "op.csv").write_text('a,b\r\n1,"x\r\ny"\r\n2,z\r\n')
+    (tmp_path / "tumor.csv").write_text("a,b\n")
+    tables = read_registry_csv(spark, str(tmp_path), damaged=True)
+    counts = {r["table_name"]: (r["n_rows"], r["n_damaged"]) for r in damaged_records(tables).collect()}
+    assert counts["fe"] == (5, 3) and counts["op"] == (2, 0) and counts["tumor"] == (0, 0) and counts["patient"] == (1, 0)
+    assert sorted((r["a"], r["b"]) for r in tables["fe"].filter(f"not {DAMAGED}").collect()) == [("1", "x\ny"), ("3", "y")]
+    assert {r["b"] for r in tables["op"].collect()} == {"x\r\ny", "z"}
+
+
 def test_csv_keeps_text_and_requires_tables(spark, tmp_path):
     for name in ("patient", "tumor", "fe", "op", "systemtherapie"):
         (tmp_path / f"{name}.csv").write_text('Patient_ID,Register_ID_FK\n1,"02"\n')
