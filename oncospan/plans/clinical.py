@@ -73,8 +73,8 @@ def visit_rows(tumor_person: DataFrame, events: dict[str, DataFrame]) -> DataFra
     return union_all(parts)
 
 
-def visit_occurrence(rows: DataFrame) -> DataFrame:
-    rows = rows.filter("visit_start_date is not null and visit_end_date is not null")
+def visit_occurrence(rows: DataFrame, stage: Stage) -> DataFrame:
+    rows = stage.counts.require(rows, "visit_occurrence", ["visit_start_date", "visit_end_date"])
     return conform(rows.withColumns({"visit_concept_id": F.lit(9202), "visit_type_concept_id": F.lit(EHR_RECORD)}),
                    "visit_occurrence")
 
@@ -96,9 +96,9 @@ def temp_condition_occurrence(tumor_person: DataFrame, mappings: DataFrame, stag
     parts = [lookup(keep.filter(F.substring("Primaertumor_ICD", 1, 3) != "C80"), F.col("Primaertumor_ICD"), icd)
              .withColumn("condition_source_value", F.col("Primaertumor_ICD")),
              lookup(keep, F.col("icdo3"), icdo).withColumn("condition_source_value", F.col("icdo3"))]
-    rows = (union_all(parts).drop("Primaertumor_ICD")
-            .filter("condition_concept_id is not null and condition_start_date is not null")
-            .withColumns({"condition_type_concept_id": F.lit(EHR_RECORD),
+    rows = stage.counts.require(union_all(parts).drop("Primaertumor_ICD"), "condition_occurrence",
+                                ["condition_concept_id", "condition_start_date"])
+    rows = (rows.withColumns({"condition_type_concept_id": F.lit(EHR_RECORD),
                           "condition_status_concept_id": F.lit(32902)}))
     order = ["person_id", "condition_start_date", "visit_occurrence_id", "condition_source_value",
              "condition_concept_id", "condition_source_concept_id"]
@@ -148,7 +148,7 @@ def procedure_occurrence(events: dict[str, DataFrame], mappings: DataFrame, meta
         branch(lookup(radiation, F.substring("Applikationsart", 1, 1), radiation_map), 5, "Applikationsart",
                "event_end", F.lit(1)),
     ]
-    rows = union_all(parts).filter("procedure_concept_id is not null")
+    rows = stage.counts.require(union_all(parts), "procedure_occurrence", ["procedure_concept_id"])
     order = ["person_id", "procedure_date", "visit_occurrence_id", "_branch", "procedure_source_value",
              "procedure_concept_id", "procedure_source_concept_id"]
     numbered = number_rows(rows, order, stage, "procedure_occurrence", "procedure_occurrence_id")

@@ -157,8 +157,8 @@ def drug_episode(temp_drug: DataFrame, conditions: DataFrame, stage: Stage) -> D
 
 
 def episode(parts: list[DataFrame], stage: Stage) -> DataFrame:
-    rows = union_all(parts).dropna(subset=["person_id", "episode_concept_id", "episode_start_date",
-                                           "episode_object_concept_id"])
+    rows = stage.counts.require(union_all(parts), "episode", ["person_id", "episode_concept_id", "episode_start_date",
+                                                              "episode_object_concept_id"])
     order = ["person_id", "episode_concept_id", "episode_start_date", "episode_number", "episode_object_concept_id",
              "episode_source_value", "episode_source_concept_id", "episode_end_date"]
     numbered = number_rows(rows.withColumn("episode_type_concept_id", F.lit(32546)), order, stage, "episode",

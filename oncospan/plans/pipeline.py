@@ -72,6 +72,12 @@ class RegistryPipeline:
         """Write the whole CDM, which readers see from one moment on. Returns the rows of each table."""
         return sinks.write_tables(self.cdm(), folder)
 
+    def builder_counts(self, folder: str) -> list[tuple[str, int, str, int]]:
+        """(table, step, column, rows): rows of each builder before and after each required column, and those written
+        to ``folder``. All were counted by the jobs that built and wrote the tables."""
+        written = sinks.manifest(self.spark, folder)["rows"]
+        return [row for name in CDM_TABLES for row in (*self.stage.counts.rows(name), (name, 99, "written", written[name]))]
+
     def close(self) -> None:
         """Delete the stage tables; no frame of this pipeline can be read afterwards."""
         self.stage.close()
@@ -176,7 +182,7 @@ class RegistryPipeline:
 
     @cached_property
     def visit_occurrence(self) -> DataFrame:
-        return clinical.visit_occurrence(self.visit_rows)
+        return clinical.visit_occurrence(self.visit_rows, self.stage)
 
     @cached_property
     def temp_condition(self) -> DataFrame:

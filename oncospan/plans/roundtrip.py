@@ -318,6 +318,12 @@ def cdm_tables(p: RegistryPipeline) -> DataFrame:
     return checksums(sinks.read_tables(p.spark, folder)).join(written, "table_name")
 
 
+def builder_counts(p: RegistryPipeline) -> DataFrame:
+    """Rows before and after each required column of every builder, counted while the CDM was written."""
+    folder = _cdm_folder(p)
+    return p.spark.createDataFrame(p.builder_counts(folder), "table_name string, step int, column_name string, n_rows long")
+
+
 def at_rest(p: RegistryPipeline) -> RegistryPipeline:
     """Reports over the CDM at rest."""
     if "at_rest" not in p.__dict__:

@@ -12,6 +12,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from oncospan.operators.counting import StepCounts
+
 
 def stage_root(spark: SparkSession) -> str:
     """The folder that driver and executors share, as the session names it."""
@@ -27,6 +29,7 @@ class Stage:
     def __init__(self, spark: SparkSession, root: str | None = None):
         self.spark = spark
         self.path = f"{root or stage_root(spark)}/stage-{uuid.uuid4().hex[:12]}"
+        self.counts = StepCounts()
         self._serial = itertools.count(1)
         self._folders: dict[str, str] = {}
         self._written: dict[str, str] = {}
