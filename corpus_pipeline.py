@@ -2,6 +2,13 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and read again as the next
 stage's ``docs``. All but the last return the columns of ``documents``.
+
+Defined results: a null or empty text is scored like the empty text, has one empty line, no shingles, no tokens but the end
+token, and topic 0; it passes or goes by its quality score alone, as it weighs nothing in the mix. Null labels and doc_ids
+teach the classifier nothing. Rows that share a doc_id are one document: they go or stay together, and packing packs each
+row. Rows without doc_id are no one's copy and stay until the mix, whose draw is theirs together. Ties between near copies
+go to the smallest doc_id. An empty table passes every stage as an empty table. Further columns of ``documents``, whatever
+their names, end at the first stage; ``n_chars`` is counted again where lines go.
 """
 
 from __future__ import annotations
@@ -48,8 +55,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sample documents so that sources, languages and topics have their tempered target shares."""
     scratch = Scratch(spark)
-    measured = mixing.measure(docs)
-    slim = scratch.write(measured.drop("text"), "measured")
+    measured, slim = mixing.measure(docs, scratch)
     return mixing.fit(slim, scratch, power=MIX_POWER).decide(measured).filter("sampled").select(*COLUMNS)
 
 
