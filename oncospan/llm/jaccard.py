@@ -10,11 +10,13 @@ one row each. All pairs of classes with Jaccard >= num / den are found:
    fewer empty parts than that; one that has more also writes its empty parts. Rows meet by signature, in one sorted
    shuffle that is read as a stream; signatures of a single class, almost all, end there.
 3. *Hubs.* In every tile each class is first compared with the class that appears in most tiles. The links so found
-   connect nearly all of a group of near copies, with as many pairs as members.
-4. *Blocks.* Tiles whose classes are still in several components are split into blocks of bounded size, and pairs of
-   blocks are compared in full: sizes, then bitmaps, whose differing bits bound the overlap from above. Pairs inside one
-   component need no comparison, as they can't change a component. A first round takes the best pair of each two
-   components of a tile, which joins most of them; a second takes every pair that is left.
+   connect nearly all of a group of near copies, with as many pairs as members. Tiles whose classes are still in
+   several components take further rounds with another hub each, the class that a hash puts first: a class that is not
+   yet in the hub's component meets it. Tiles share their hubs, so a round has few pairs per class.
+4. *Blocks.* Tiles that are open after that are split into blocks of bounded size, and pairs of blocks are compared in
+   full: sizes, then bitmaps, whose differing bits bound the overlap from above. A bitmap has at least four bits per
+   shingle, so that most shingles which one set lacks show as a bit. Pairs inside one component need no comparison, as
+   they can't change a component.
 5. Pairs that pass both bounds meet the shingle arrays and are decided by exact intersection.
 
 Links that join classes already connected may go unlisted; every pair that decides a component is compared, so
@@ -37,7 +39,9 @@ from pyspark.sql import functions as F
 
 from oncospan.llm.common import Scratch, block_tiles, borders, components, map_arrow, small_batches, stream_groups
 
-BITS = 1024
+BITS_PER_SHINGLE = 4
+LEAST_BITS = 256
+HUB_ROUNDS = 2  # with hubs drawn by a hash, after the first
 BLOCK_ROWS = 512
 BROADCAST_IDS = 500_000  # ids of 8 bytes: at most this many are sent to every executor, more are shuffled
 BROADCAST_PAIRS = 200_000  # two ids each
@@ -126,13 +130,28 @@ def signatures(h: np.ndarray, bands: Bands) -> np.ndarray:
 
 
 def bitmap(h: np.ndarray) -> bytes:
-    bits = np.zeros(BITS, bool)
-    bits[(h >> np.uint64(7)) % np.uint64(BITS)] = True
-    return np.packbits(bits).tobytes()
+    """Bits that the shingles set; their number is a power of two, so a longer bitmap folds to a shorter one."""
+    size = LEAST_BITS
+    while size < BITS_PER_SHINGLE * len(h):
+        size *= 2
+    bits = np.zeros(size, bool)
+    bits[((h >> np.uint64(7)) % np.uint64(size)).astype(np.int64)] = True
+    return np.packbits(bits, bitorder="little").tobytes()
+
+
+def fold(maps: list[bytes], width: int) -> np.ndarray:
+    """Bitmaps of ``width`` bytes or more as (rows, width / 8) words: bit i of a longer one goes to i modulo the width."""
+    out = np.empty((len(maps), width // 8), np.uint64)
+    sizes = np.fromiter(map(len, maps), np.int64, len(maps))
+    for size in np.unique(sizes).tolist():
+        at = np.flatnonzero(sizes == size)
+        rows = np.frombuffer(b"".join([maps[i] for i in at.tolist()]), np.uint64).reshape(len(at), -1, width // 8)
+        out[at] = np.bitwise_or.reduce(rows, axis=1)
+    return out
 
 
 def overlap_bound(n_a, n_b, map_a: np.ndarray, map_b: np.ndarray) -> np.ndarray:
-    """Bitmaps as (rows, BITS / 64) words. A bit that only one bitmap has stands for a shingle that only one set has."""
+    """Bitmaps as rows of words, equally wide. A bit that only one bitmap has stands for a shingle that only one set has."""
     only_a = np.bitwise_count(map_a & ~map_b).sum(1, dtype=np.int64)
     only_b = np.bitwise_count(map_b & ~map_a).sum(1, dtype=np.int64)
     return np.minimum(n_a - only_a, n_b - only_b)
@@ -149,8 +168,15 @@ def _class_of(h: np.ndarray) -> tuple[int, int]:
         int(np.uint64(xxhash.xxh64_intdigest(data, 1)).view(np.int64))
 
 
-def _bitmaps(column) -> np.ndarray:
-    return np.frombuffer(b"".join(column), np.uint64).reshape(-1, BITS // 64)
+def pairs_may_link(num: int, den: int, n_a, n_b, maps_a: list[bytes], maps_b: list[bytes]) -> np.ndarray:
+    """``may_link`` for bitmaps of any lengths; the longer one of a pair is folded."""
+    ok = np.zeros(len(maps_a), bool)
+    widths = np.fromiter((min(len(x), len(y)) for x, y in zip(maps_a, maps_b, strict=True)), np.int64, len(maps_a))
+    for width in np.unique(widths).tolist():
+        at = np.flatnonzero(widths == width)
+        one, two = fold([maps_a[i] for i in at.tolist()], width), fold([maps_b[i] for i in at.tolist()], width)
+        ok[at] = may_link(num, den, n_a[at], n_b[at], one, two)
+    return ok
 
 
 @dataclass
@@ -178,69 +204,71 @@ class JaccardJoin:
         scratch = self.scratch
         small_batches(docs.sparkSession)
         docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-        sets = scratch.write(self._sets(docs), "sets")
+        described = scratch.write(self._described(docs), "sets")
+        sets = described.drop("sigs")
         owned = sets.filter("doc_id is not null and n_shingles > 0")
         classes = scratch.write(owned.groupBy("class_id", "check").agg(
             F.min("doc_id").alias("rep"), F.count("*").alias("copies")), "classes")
-        tiles = scratch.write(self._tiles(docs.filter("doc_id is not null")), "tiles")
+        tiles = scratch.write(self._tiles(described.filter("doc_id is not null and sigs is not null")), "tiles")
         live = scratch.write(tiles.groupBy("class_id").agg(F.count("*").alias("degree"))
                              .join(classes.select("class_id", "rep"), "class_id"), "live")
         members = scratch.write(self._members(docs, live), "members")
         rows = scratch.write(tiles.join(live, "class_id").join(
             members.groupBy("rep").agg(F.max("n").alias("n")), "rep").select("sig", "rep", "n", "degree"), "tile_rows")
         scratch.drop(tiles)
-        tried = scratch.write(self._hub_pairs(rows).distinct(), "hub_pairs")
-        first = scratch.write(self._verified(tried, members), "links")
-        links = first
-        for best in (True, False):
-            more = scratch.write(self._block_pairs(rows, components(links, scratch), members, best).distinct()
-                                 .join(tried, ["a", "b"], "left_anti"), "block_pairs")
+        hubs = rows.select("*", F.col("rep").alias("component")).repartition("sig").sortWithinPartitions(
+            "sig", F.desc("degree"), "rep")
+        tried = scratch.write(self._hub_pairs(hubs).distinct(), "hub_pairs")
+        links = scratch.write(self._verified(tried, members), "links")
+        for turn in range(HUB_ROUNDS + 1):
+            left = self._open_rows(rows, components(links, scratch))
+            if left.isEmpty():
+                break
+            if turn < HUB_ROUNDS:
+                drawn = left.repartition("sig").sortWithinPartitions("sig", F.xxhash64("rep", F.lit(turn)), "rep")
+                pairs = self._hub_pairs(drawn)
+            else:
+                pairs = self._block_pairs(left, members)
+            more = scratch.write(pairs.distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
             found = scratch.write(self._verified(more, members), "links")
-            links, tried = links.unionByName(found), tried.unionByName(more)
-        scratch.drop(rows)
+            links, tried, rows = links.unionByName(found), tried.unionByName(more), left.drop("component")
         return sets, links, classes
 
     # -------------------------------------------------------- sets and tiles
 
-    def _sets(self, docs: DataFrame) -> DataFrame:
-        words = self.words
+    def _described(self, docs: DataFrame) -> DataFrame:
+        """(doc_id, n_shingles, class_id, check, sigs): each text is cut into shingles once for all of these. A copy
+        inside a split of the input has no signatures again."""
+        words, num, den = self.words, self.num, self.den
 
         def make() -> Callable[[dict], dict]:
-            known = WordHashes()
+            known, bands, seen = WordHashes(), Bands(num, den), set()
 
             def step(c: dict) -> dict:
-                sizes, ones, twos = [], [], []
-                for text in c["text"].to_pylist():
+                sizes, ones, twos, sigs = [], [], [], []
+                for doc, text in zip(c["doc_id"].to_pylist(), c["text"].to_pylist(), strict=True):
                     h = shingles(text, words, known)
                     one, two = _class_of(h)
+                    new = len(h) and doc is not None and one not in seen
+                    if new:
+                        seen.add(one)
                     sizes.append(len(h))
                     ones.append(one if len(h) else None)
                     twos.append(two if len(h) else None)
-                return {"doc_id": c["doc_id"], "n_shingles": sizes, "class_id": ones, "check": twos}
+                    sigs.append(signatures(h, bands).tobytes() if new else None)
+                return {"doc_id": c["doc_id"], "n_shingles": sizes, "class_id": ones, "check": twos, "sigs": sigs}
 
             return step
 
-        return map_arrow(docs, make, "doc_id long, n_shingles long, class_id long, check long")
+        return map_arrow(docs, make, "doc_id long, n_shingles long, class_id long, check long, sigs binary")
 
-    def _tiles(self, docs: DataFrame) -> DataFrame:
+    def _tiles(self, described: DataFrame) -> DataFrame:
         """(sig, class_id) of the signatures that at least two classes have."""
-        words, num, den = self.words, self.num, self.den
-
         def write() -> Callable[[dict], dict]:
-            known, bands, seen = WordHashes(), Bands(num, den), set()
-
             def step(c: dict) -> dict:
-                sigs, ids = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
-                for text in c["text"].to_pylist():
-                    h = shingles(text, words, known)
-                    class_id = _class_of(h)[0] if len(h) else None
-                    if class_id is None or class_id in seen:
-                        continue  # a copy inside this split: the class has written its signatures
-                    seen.add(class_id)
-                    own = signatures(h, bands)
-                    sigs.append(own)
-                    ids.append(np.full(len(own), class_id))
-                return {"sig": np.concatenate(sigs).view(np.int64), "class_id": np.concatenate(ids)}
+                sigs = c["sigs"].to_pylist()
+                return {"sig": np.frombuffer(b"".join(sigs), np.int64),
+                        "class_id": np.repeat(c["class_id"].to_numpy(), [len(s) // 8 for s in sigs])}
 
             return step
 
@@ -265,7 +293,8 @@ class JaccardJoin:
             return step
 
         schema = "sig long, class_id long"
-        met = map_arrow(docs, write, schema).repartition("sig").sortWithinPartitions("sig", "class_id")
+        met = map_arrow(described.select("class_id", "sigs"), write, schema).repartition("sig").sortWithinPartitions(
+            "sig", "class_id")
         return map_arrow(met, read, schema, flush=True)
 
     def _members(self, docs: DataFrame, live: DataFrame) -> DataFrame:
@@ -290,77 +319,78 @@ class JaccardJoin:
 
     # -------------------------------------------------------- pairs
 
+    def _open_rows(self, rows: DataFrame, found: DataFrame) -> DataFrame:
+        """Rows, with their component, of the tiles that hold several. Of two classes, one was the hub: that pair has
+        been compared."""
+        named = rows.join(found.withColumnRenamed("node", "rep"), "rep", "left").withColumn(
+            "component", F.coalesce("component", "rep"))
+        still = (named.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
+                                          F.count("*").alias("size"))
+                 .filter("lo <> hi and size > 2").select("sig"))
+        return self.scratch.write(named.join(still, "sig").select(*rows.columns, "component"), "open_rows")
+
     def _hub_pairs(self, rows: DataFrame) -> DataFrame:
-        """Each class of a tile with the tile's hub; the stream holds the hub alone."""
+        """Each class of a tile with the tile's first class, the hub, unless they share a component. Rows come sorted
+        by tile; the stream holds the hub alone."""
         num, den = self.num, self.den
 
         def make() -> Callable[[dict], dict]:
-            hub: dict = {"sig": None}
+            held: dict = {"sig": None}
 
             def step(c: dict) -> dict:
-                sig, rep, n = c["sig"].to_numpy(), c["rep"].to_numpy(), c["n"].to_numpy()
-                heads = borders({"sig": sig}, ["sig"]) if len(sig) else np.empty(0, np.int64)
-                if len(sig) and hub["sig"] == sig[0]:
-                    heads = heads[1:]
-                    base, base_n = np.full(len(sig), hub["rep"]), np.full(len(sig), hub["n"])
-                else:
-                    base, base_n = np.zeros(len(sig), np.int64), np.zeros(len(sig), np.int64)
-                if len(heads):
-                    at = np.repeat(heads, np.diff([*heads, len(sig)]))
-                    base[heads[0]:], base_n[heads[0]:] = rep[at], n[at]
-                if len(sig):
-                    hub.update(sig=sig[-1], rep=base[-1], n=base_n[-1])
-                small, large = np.minimum(n, base_n), np.maximum(n, base_n)
-                ok = (base != rep) & (den * small >= num * large)
-                return {"a": np.minimum(base, rep)[ok], "b": np.maximum(base, rep)[ok]}
+                sig, rep, n, group = (c[k].to_numpy() for k in ("sig", "rep", "n", "component"))
+                if not len(sig):
+                    return {"a": rep, "b": rep}
+                heads = borders({"sig": sig}, ["sig"])
+                at = np.repeat(heads, np.diff([*heads, len(sig)]))
+                hub, hub_n, hub_group = rep[at], n[at], group[at]
+                if held["sig"] == sig[0]:  # the batch begins inside a tile
+                    first = slice(0, heads[1] if len(heads) > 1 else len(sig))
+                    hub[first], hub_n[first], hub_group[first] = held["rep"], held["n"], held["component"]
+                held.update(sig=sig[-1], rep=hub[-1], n=hub_n[-1], component=hub_group[-1])
+                small, large = np.minimum(n, hub_n), np.maximum(n, hub_n)
+                ok = (hub_group != group) & (den * small >= num * large)
+                return {"a": np.minimum(hub, rep)[ok], "b": np.maximum(hub, rep)[ok]}
 
             return step
 
-        met = rows.repartition("sig").sortWithinPartitions("sig", F.desc("degree"), "rep")
-        return map_arrow(met, make, "a long, b long")
+        return map_arrow(rows.select("sig", "rep", "n", "component"), make, "a long, b long")
 
-    def _block_pairs(self, rows: DataFrame, found: DataFrame, members: DataFrame, best: bool) -> DataFrame:
-        """Pairs of a tile that lie in different components and pass the size and bitmap bounds; with ``best`` the one
-        of the largest bound for each two components of a tile."""
+    def _block_pairs(self, left: DataFrame, members: DataFrame) -> DataFrame:
+        """Pairs of a tile that lie in different components and pass the size and bitmap bounds."""
         num, den = self.num, self.den
-        named = rows.join(found.withColumnRenamed("node", "rep"), "rep", "left").select(
-            "sig", "rep", F.coalesce("component", "rep").alias("component"))
-        # of two classes, one is the hub: that pair has been compared
-        open_tiles = (named.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
-                                               F.count("*").alias("size"))
-                      .filter("lo <> hi and size > 2").select("sig"))
-        left = self.scratch.write(named.join(open_tiles, "sig"), "open_rows")
-        tiled = block_tiles(left, ["sig"], "rep", BLOCK_ROWS)
+        tiled = block_tiles(left.select("sig", "rep", "component"), ["sig"], "rep", BLOCK_ROWS)
         full = tiled.join(members.select("rep", "n", "bitmap"), "rep")
 
+        def compare(c: dict, width: int, out: list) -> None:
+            """All pairs of whole tiles, whose narrowest bitmap has ``width`` bytes."""
+            heads = borders(c, ["sig", "_i", "_j"])
+            ends = np.repeat([*heads[1:], len(c["sig"])], np.diff([*heads, len(c["sig"])]))
+            maps, rep, n, group = fold(list(c["bitmap"]), width), c["rep"], c["n"], c["component"]
+            whole = c["_i"] == c["_j"]  # a block with itself: all its pairs; else one row from each block
+            a = np.arange(len(rep))
+            for d in range(1, len(rep)):
+                a = a[a + d < ends[a]]
+                if not len(a):
+                    break
+                b = a + d
+                ok = (group[a] != group[b]) & (whole[a] | (c["_side"][a] != c["_side"][b]))
+                ok &= den * np.minimum(n[a], n[b]) >= num * np.maximum(n[a], n[b])
+                one, two = a[ok], b[ok]
+                near = may_link(num, den, n[one], n[two], maps[one], maps[two])
+                one, two = one[near], two[near]
+                out.append(np.stack([np.minimum(rep[one], rep[two]), np.maximum(rep[one], rep[two])]))
+
         def make() -> Callable[[dict], dict]:
             def step(c: dict) -> dict:
-                out_a, out_b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+                out: list = [np.empty((2, 0), np.int64)]
                 heads = borders(c, ["sig", "_i", "_j"])
-                ends = np.repeat([*heads[1:], len(c["sig"])], np.diff([*heads, len(c["sig"])]))
-                maps, rep, n, group = _bitmaps(c["bitmap"]), c["rep"], c["n"], c["component"]
-                whole = c["_i"] == c["_j"]  # a block with itself: all its pairs; else one row from each block
-                a = np.arange(len(rep))
-                for d in range(1, len(rep)):
-                    a = a[a + d < ends[a]]
-                    if not len(a):
-                        break
-                    b = a + d
-                    ok = (group[a] != group[b]) & (whole[a] | (c["_side"][a] != c["_side"][b]))
-                    ok &= den * np.minimum(n[a], n[b]) >= num * np.maximum(n[a], n[b])
-                    one, two = a[ok], b[ok]
-                    near = may_link(num, den, n[one], n[two], maps[one], maps[two])
-                    out_a.append(one[near])
-                    out_b.append(two[near])
-                one, two = np.concatenate(out_a), np.concatenate(out_b)
-                if best and len(one):
-                    bound = overlap_bound(n[one], n[two], maps[one], maps[two]) / (n[one] + n[two])
-                    low, high = np.minimum(group[one], group[two]), np.maximum(group[one], group[two])
-                    order = np.lexsort((-bound, high, low, ends[one]))
-                    tile = np.stack([ends[one], low, high])[:, order]
-                    first = np.concatenate([[True], (tile[:, 1:] != tile[:, :-1]).any(0)])
-                    one, two = one[order][first], two[order][first]
-                return {"a": np.minimum(rep[one], rep[two]), "b": np.maximum(rep[one], rep[two])}
+                size = np.fromiter(map(len, c["bitmap"]), np.int64, len(c["bitmap"]))
+                narrowest = np.repeat(np.minimum.reduceat(size, heads), np.diff([*heads, len(size)]))
+                for width in np.unique(narrowest).tolist():
+                    compare({k: v[narrowest == width] for k, v in c.items()}, width, out)
+                pairs = np.unique(np.concatenate(out, axis=1), axis=1)  # a pair meets in many tiles
+                return {"a": pairs[0], "b": pairs[1]}
 
             return step
 
@@ -377,8 +407,8 @@ class JaccardJoin:
             def step(c: dict) -> dict:
                 if not len(c["a"]):
                     return {"a": c["a"], "b": c["b"]}
-                ok = may_link(num, den, c["n_a"].to_numpy(), c["n_b"].to_numpy(), _bitmaps(c["bitmap_a"].to_pylist()),
-                              _bitmaps(c["bitmap_b"].to_pylist()))
+                ok = pairs_may_link(num, den, c["n_a"].to_numpy(), c["n_b"].to_numpy(), c["bitmap_a"].to_pylist(),
+                                    c["bitmap_b"].to_pylist())
                 return {"a": c["a"].to_numpy()[ok], "b": c["b"].to_numpy()[ok]}
 
             return step
