@@ -12,10 +12,15 @@ documents, their references pass their shard's filter, which drops almost all; t
 false hit of the filter never drops a line. A shard whose filter overflows is rebuilt from the counts; until then it
 answers "maybe" to every key, which stays exact.
 
+Shards grow with the store by linear hashing: with more keys than ``keys_per_shard`` on average, further shards split
+off the first ones, only the filters of shards that split are built anew, and all other keys stay where they are.
+``save`` writes the three tables to a folder, ``LineStore.load`` opens them in another session.
+
 A line's key is the line without ``[\\x20\\x09-\\x0D]`` at both ends and with A-Z lowered, as a 128-bit hash; keys of
 fewer than ``min_chars`` code points are never dropped. Defined results: null or empty text is one empty line. Rows that
 share a doc_id are one document. Lines of rows without doc_id stay and are not counted. An empty table gives an empty
-result. Only ``doc_id`` and ``text`` are read; other columns are handed on.
+result. Only ``doc_id`` and ``text`` are read; other columns are handed on, whatever their names, but columns called
+``n_lines`` or ``n_dropped`` give way to the results of these names.
 """
 
 from __future__ import annotations
@@ -32,6 +37,8 @@ from oncospan.llm.common import ASCII_SPACE, Scratch, map_arrow, small_batches,
 
 SLOTS = 4
 _KEY = "doc_id long, key binary, n_lines int"
+_COUNTS = "key binary, n_docs long, first_doc long, shard int"
+_FILTERS = "shard int, filter binary"
 
 
 def line_key(line: str, min_chars: int) -> bytes | None:
@@ -78,37 +85,46 @@ class CuckooFilter:
         return (self.table[one] == mark[:, None]).any(1) | (self.table[two] == mark[:, None]).any(1)
 
     def insert(self, keys: np.ndarray) -> bool:
-        """False when the filter is too full; it then misses keys and must not be used."""
+        """False when the filter is too full; it then misses keys and must not be used.
+
+        Free slots are filled for all keys at once, one key per bucket and slot; keys that find both buckets full push
+        others out, one after the other.
+        """
+        marks, one, two = self._places(keys)
+        left = np.arange(len(marks))
+        for places in (one, two):
+            for slot in range(SLOTS):
+                free = left[self.table[places[left], slot] == 0]
+                _, first = np.unique(places[free], return_index=True)
+                placed = free[first]
+                self.table[places[placed], slot] = marks[placed]
+                left = np.setdiff1d(left, placed, assume_unique=True)
         rng = np.random.default_rng(0)
+        return all(self._push(marks[i], two[i], rng) for i in left.tolist())
+
+    def _push(self, mark, at, rng) -> bool:
         mask = np.uint32(len(self.table) - 1)
-        for mark, one, two in zip(*self._places(keys), strict=True):
-            for at in (one, two):
-                free = np.flatnonzero(self.table[at] == 0)
-                if len(free):
-                    self.table[at, free[0]] = mark
-                    break
-            else:
-                at = two
-                for _ in range(500):
-                    slot = rng.integers(SLOTS)
-                    mark, self.table[at, slot] = self.table[at, slot], mark
-                    at = at ^ (np.uint32((int(mark) * 0x5BD1E995) & 0xFFFFFFFF | 1) & mask)
-                    free = np.flatnonzero(self.table[at] == 0)
-                    if len(free):
-                        self.table[at, free[0]] = mark
-                        break
-                else:
-                    return False
-        return True
+        for _ in range(500):
+            free = np.flatnonzero(self.table[at] == 0)
+            if len(free):
+                self.table[at, free[0]] = mark
+                return True
+            slot = rng.integers(SLOTS)
+            mark, self.table[at, slot] = self.table[at, slot], mark
+            at = at ^ (np.uint32((int(mark) * 0x5BD1E995) & 0xFFFFFFFF | 1) & mask)
+        return False
 
     def delete(self, keys: np.ndarray) -> None:
         """Remove one copy of each key's fingerprint; only for keys that were inserted."""
-        for mark, one, two in zip(*self._places(keys), strict=True):
-            for at in (one, two):
-                found = np.flatnonzero(self.table[at] == mark)
-                if len(found):
-                    self.table[at, found[0]] = 0
-                    break
+        marks, one, two = self._places(keys)
+        left = np.arange(len(marks))
+        for places in (one, two):
+            for slot in range(SLOTS):
+                held = left[self.table[places[left], slot] == marks[left]]
+                _, first = np.unique(places[held], return_index=True)  # a slot goes once
+                gone = held[first]
+                self.table[places[gone], slot] = 0
+                left = np.setdiff1d(left, gone, assume_unique=True)
 
 
 def _key_matrix(keys) -> np.ndarray:
@@ -135,23 +151,45 @@ class LineStore:
         new = self.scratch.write(self._references_of(docs), "references")
         counted = new.groupBy("key").agg(F.count("*").alias("n_docs"), F.min("doc_id").alias("first_doc"))
         if self.counts is None:
-            n_keys = new.count()
-            self.shards = max(1, -(-n_keys // self.keys_per_shard))
-            self.references = new
-            self.counts = self.scratch.write(self._with_shard(counted), "counts")
-            risen = self.counts.filter("n_docs >= 2").select("shard", "key")
+            merged = counted.withColumn("was", F.lit(0).cast("long"))
         else:
-            self.references = self.references.unionByName(new)
             old = self.counts.select("key", "n_docs", "first_doc", F.col("n_docs").alias("was"))
             merged = (old.unionByName(counted.withColumn("was", F.lit(0).cast("long"))).groupBy("key")
                       .agg(F.sum("n_docs").alias("n_docs"), F.min("first_doc").alias("first_doc"),
                            F.max("was").alias("was")))
-            both = self.scratch.write(self._with_shard(merged), "counts")
-            risen = both.filter("n_docs >= 2 and was < 2").select("shard", "key")
-            self.counts = both.drop("was")
+        both = self.scratch.write(merged, "merged")
+        self.references = new if self.counts is None else self.references.unionByName(new)
+        before, self.shards = self.shards, max(self.shards, 1, -(-both.count() // self.keys_per_shard))
+        placed = self._with_shard(both)
+        self.counts = placed.drop("was")
+        self._grow(before)
+        split = self._split_shards(before)
+        risen = placed.filter("n_docs >= 2 and was < 2").select("shard", "key")
+        if split:  # these were built from the counts, with the new keys
+            risen = risen.filter(~F.col("shard").isin(split))
         self._change_filters(risen, added=True)
         return self
 
+    def _split_shards(self, before: int) -> list[int]:
+        """Shards whose keys moved when the number of shards rose: the new ones and those that they split from."""
+        if not before or self.shards == before:
+            return []
+        new = set(range(before, self.shards))
+        for s in range(before, self.shards):
+            while s >= before:  # the shard that held these keys
+                s -= 1 << (s.bit_length() - 1)
+            new.add(s)
+        return sorted(new)
+
+    def _grow(self, before: int) -> None:
+        split = self._split_shards(before)
+        if not split:
+            return
+        blank = self.spark.createDataFrame([(s, b"") for s in split], "shard int, filter binary")
+        repeated = self.counts.filter("n_docs >= 2").select("shard", "key").filter(F.col("shard").isin(split))
+        whole = self.filters.filter(~F.col("shard").isin(split))
+        self.filters = self.scratch.write(whole.unionByName(self._filters_after(repeated, True, blank)), "filters")
+
     def delete(self, doc_ids: DataFrame) -> LineStore:
         """Take documents back out; lines that only they repeated become unique again."""
         ids = doc_ids.select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
@@ -170,17 +208,41 @@ class LineStore:
         self._change_filters(fallen, added=False)
         return self
 
+    # -------------------------------------------------------- files
+
+    def save(self, folder: str) -> None:
+        """Write the store to ``folder``, whose last store it replaces."""
+        counts = self.counts if self.counts is not None else self.spark.createDataFrame([], _COUNTS)
+        filters = self.filters if self.filters is not None else self.spark.createDataFrame([], _FILTERS)
+        facts = self.spark.createDataFrame([(self.min_chars, self.keys_per_shard, self.shards)],
+                                           "min_chars int, keys_per_shard long, shards int")
+        for name, df in (("references", self.references), ("counts", counts), ("filters", filters), ("facts", facts)):
+            df.write.mode("overwrite").parquet(f"{folder}/{name}")
+
+    @classmethod
+    def load(cls, spark: SparkSession, scratch: Scratch, folder: str) -> LineStore:
+        """A saved store. Later changes go to ``scratch``; the folder stays as it is."""
+        facts = spark.read.parquet(f"{folder}/facts").first()
+        store = cls(spark, scratch, facts.min_chars, facts.keys_per_shard)
+        store.shards = facts.shards
+        store.references = spark.read.schema(_KEY).parquet(f"{folder}/references")
+        if store.shards:
+            store.counts = spark.read.schema(_COUNTS).parquet(f"{folder}/counts")
+            store.filters = spark.read.schema(_FILTERS).parquet(f"{folder}/filters")
+        return store
+
     # -------------------------------------------------------- use
 
     def clean(self, docs: DataFrame) -> DataFrame:
         """``docs`` without the repeated lines; adds n_lines (before) and n_dropped. The store must hold them."""
         hits = self._maybe_repeated()
         repeated = self.counts.filter("n_docs >= 2").select("key", "first_doc")
+        docs = docs.select(*[c for c in docs.columns if c.lower() not in ("n_lines", "n_dropped")])
+        doc, drop = _private(docs, "_doc"), _private(docs, "_drop")
         drops = (hits.join(repeated, "key").filter("doc_id <> first_doc")
-                 .groupBy("doc_id").agg(F.collect_list("key").alias("_drop")))  # at most the document's own lines
-        drops = drops.withColumnRenamed("doc_id", "_doc")
-        marked = docs.join(drops, docs["doc_id"].cast("long") == drops["_doc"], "left").drop("_doc")
-        return _without_lines(marked, self.min_chars)
+                 .groupBy(F.col("doc_id").alias(doc)).agg(F.collect_list("key").alias(drop)))  # the document's own lines
+        marked = docs.join(drops, docs["doc_id"].cast("long") == drops[doc], "left").drop(doc)
+        return _without_lines(marked, drop, self.min_chars)
 
     def _maybe_repeated(self) -> DataFrame:
         """References whose key passes its shard's filter. Rows of a shard are spread over salts; each salt gets a
@@ -249,13 +311,17 @@ class LineStore:
         return found.groupBy("doc_id", "key").agg(F.sum("n_lines").cast("int").alias("n_lines"))
 
     def _with_shard(self, rows: DataFrame) -> DataFrame:
-        return rows.withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(self.shards)).cast("int"))
+        """Linear hashing: as many low bits of the hash as there are shards for, one bit less beyond the last shard."""
+        width = 1 << max(0, (self.shards - 1).bit_length())
+        h = F.xxhash64("key")
+        wide, narrow = F.pmod(h, F.lit(width)), F.pmod(h, F.lit(max(1, width // 2)))
+        return rows.withColumn("shard", F.when(wide < self.shards, wide).otherwise(narrow).cast("int"))
 
     def _change_filters(self, changes: DataFrame, added: bool) -> None:
         """Apply a shard's changes to its filter; a shard has ``keys_per_shard`` keys on average."""
         if self.filters is None:
-            self.filters = self.spark.range(self.shards).select(
-                F.col("id").cast("int").alias("shard"), F.lit(b"").alias("filter"))
+            self.filters = self.spark.range(self.shards).select(F.col("id").cast("int").alias("shard"),
+                                                                F.lit(b"").alias("filter"))
         changed = self._filters_after(changes, added)
         self.filters = self.scratch.write(changed, "filters")
         full = self.filters.filter("filter is null")
@@ -288,19 +354,27 @@ class LineStore:
         return held.groupBy("shard").cogroup(changes.groupBy("shard")).applyInPandas(apply, "shard int, filter binary")
 
 
-def _without_lines(marked: DataFrame, min_chars: int) -> DataFrame:
-    """Rewrite ``text`` without the lines whose key is in ``_drop``."""
+def _private(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have."""
+    known = {c.lower() for c in df.columns}
+    while name in known:
+        name += "_"
+    return name
+
+
+def _without_lines(marked: DataFrame, drop: str, min_chars: int) -> DataFrame:
+    """Rewrite ``text`` without the lines whose key is in column ``drop``."""
     small_batches(marked.sparkSession)
-    others = [c for c in marked.columns if c not in ("text", "_drop")]
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in marked.schema if f.name in others)
+    others = [c for c in marked.columns if c not in ("text", drop)]
+    fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in marked.schema if f.name in others)
 
     def make() -> Callable[[dict], dict]:
         def step(c: dict) -> dict:
             texts, n_lines, n_dropped = [], [], []
-            for text, drop in zip(c["text"].to_pylist(), c["_drop"].to_pylist(), strict=True):
+            for text, keys in zip(c["text"].to_pylist(), c[drop].to_pylist(), strict=True):
                 lines = (text or "").split("\n")
-                if drop:
-                    gone = set(drop)
+                if keys:
+                    gone = set(keys)
                     kept = [x for x in lines if line_key(x, min_chars) not in gone]
                 else:
                     kept = lines
@@ -311,8 +385,8 @@ def _without_lines(marked: DataFrame, min_chars: int) -> DataFrame:
 
         return step
 
-    return map_arrow(marked.select(*others, "text", "_drop"), make,
-                     f"{fields}, text string, n_lines long, n_dropped long")
+    return map_arrow(marked.select(*[F.col(f"`{o}`") for o in others], "text", drop), make,
+                     f"{fields}text string, n_lines long, n_dropped long")
 
 
 def dedup_lines(docs: DataFrame, scratch: Scratch, min_chars: int = 10) -> DataFrame:

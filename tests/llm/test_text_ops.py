@@ -123,6 +123,37 @@ def test_store_is_reversible(spark, scratch):
     assert store.counts.filter("n_docs >= 2").count() == 1
 
 
+def test_line_dedup_keeps_columns_of_any_name(spark, scratch):
+    rows = docs_of(spark, LINES)
+    for name in ("n_lines", "N_Dropped", "_drop", "_doc", "_drop_", "filter", "first_doc"):
+        rows = rows.withColumn(name, F.lit("clash"))
+    got = line_dedup.dedup_lines(rows, scratch)
+    assert cleaned(got) == plain_lines(dict(enumerate(LINES)))
+    assert set(got.columns) == {"doc_id", "text", "n_lines", "n_dropped", "_drop", "_doc", "_drop_", "filter", "first_doc"}
+    assert {r["_drop"] for r in got.collect()} == {"clash"}
+
+
+def test_store_grows_and_is_saved(spark, scratch, tmp_path):
+    """Ten documents make one shard; a hundred thousand more make many, and nothing changes in the results."""
+    text = F.concat(F.lit("line of document "), (F.col("id") % 60_000).cast("string"), F.lit("\nlast line "),
+                    F.col("id").cast("string"))
+    docs = spark.range(100_010).select(F.col("id").alias("doc_id"), text.alias("text"))
+    store = LineStore(spark, scratch, keys_per_shard=4000).insert(docs.filter("doc_id < 10"))
+    assert store.shards == 1
+    store.insert(docs.filter("doc_id >= 10 and doc_id < 20000"))
+    middle = store.shards
+    store.save(str(tmp_path / "store"))
+    store = LineStore.load(spark, scratch, str(tmp_path / "store")).insert(docs.filter("doc_id >= 20000"))
+    assert 4 < middle < store.shards and store.shards == -(-store.counts.count() // 4000)
+    sizes = {r.shard: len(r.filter) for r in store.filters.collect()}
+    assert sorted(sizes) == list(range(store.shards)) and max(sizes.values()) <= 8192 * 2
+    out = store.clean(docs).agg(F.sum("n_dropped").alias("dropped"), F.sum("n_lines").alias("lines")).first()
+    assert (out.dropped, out.lines) == (40_010, 200_020)
+    store.delete(docs.filter("doc_id < 30000").select("doc_id"))
+    out = store.clean(docs.filter("doc_id >= 30000")).agg(F.sum("n_dropped").alias("dropped")).first()
+    assert out.dropped == 10_010
+
+
 def test_filter_has_no_false_negatives_and_deletes():
     keys = line_dedup._key_matrix([hashlib.blake2b(str(i).encode(), digest_size=16).digest() for i in range(5000)])
     table = CuckooFilter.sized(5000)
