@@ -48,6 +48,12 @@ class Scratch:
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+    def close(self) -> None:
+        """Remove all tables of the run, when nothing reads them any more."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Arrow batches of whole texts stay small: at most ``rows`` rows, and 16 MB where the session can bound bytes."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
@@ -71,6 +77,27 @@ def map_arrow(df: DataFrame, make: Callable[[], Callable[[dict], dict | None]],
     return df.mapInArrow(run, out)
 
 
+def summed(rows: DataFrame, part: Callable[[dict], np.ndarray], size: int) -> np.ndarray:
+    """Sum of ``part`` over all batches, ``size`` numbers: per task, then per number in Spark."""
+    def make() -> Callable[[dict | None], dict | None]:
+        total = np.zeros(size)
+
+        def step(c: dict | None) -> dict | None:
+            nonlocal total
+            if c is not None:
+                total = total + np.asarray(part(c), float).ravel()
+                return None
+            return {"v": [total.tolist()]} if total.any() else {"v": []}
+
+        return step
+
+    sums = map_arrow(rows, make, "v array<double>", flush=True).select(F.posexplode("v").alias("i", "v"))
+    out = np.zeros(size)
+    for i, v in sums.groupBy("i").agg(F.sum("v")).collect():
+        out[i] = v
+    return out
+
+
 def _array(values, kind: pa.DataType) -> pa.Array:
     if isinstance(values, pa.Array | pa.ChunkedArray):
         return values.cast(kind) if values.type != kind else values

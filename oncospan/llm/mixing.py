@@ -2,13 +2,14 @@
 
 Every document lies in a cell (source, language, topic). Raking finds factors of sources, languages and topics so that
 token weights, tokens x factor x factor x factor, meet the target share of every source, language and topic at once.
-Documents are then kept with a probability in proportion to their cell's factor, so the expected tokens of the sample
-have the target shares.
+Documents are then kept with calibrated probabilities: the raked factors of a sample as large as possible, where a
+probability is at most 1 and the rest is raked again, so the expected tokens of the sample have the target shares. A
+sample cannot be larger than its scarcest value allows: all of its tokens over its target share.
 
-Topics come from spherical k-means over hashed words: centres are fitted on a bounded sample, and every whole text is
-assigned. Languages and topics are few, sources may be many: a source is one row with its tokens per (language, topic),
-so a round of raking is one aggregation over the sources, of which only the (language, topic) sums reach the driver. Hot
-sources are summed up before the shuffle.
+Topics come from spherical k-means over hashed words. Vectors of all documents are staged once; first centres are drawn
+from a bounded sample, and every round moves them by all documents. Languages and topics are few, sources may be many: a
+source is one row with its tokens per (language, topic), so a round of raking is one pass over the sources, of which only
+the (language, topic) sums reach the driver. Hot sources are summed up before the shuffle.
 
 Defined results: null source or language is a value of its own. A text without words has topic 0 and no tokens; it is
 kept, as it weighs nothing. Targets without a value present are ignored, values without a target keep their natural
@@ -24,11 +25,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from oncospan.llm.common import Scratch, map_arrow, small_batches
+from oncospan.llm.common import Scratch, map_arrow, small_batches, summed
 
 WORD_BUCKETS = 512
 CACHE_WORDS = 200_000
@@ -56,19 +58,35 @@ def word_vector(text: str | None, known: WordBuckets) -> tuple[np.ndarray, int]:
     return x / np.linalg.norm(x), len(words)
 
 
-def fit_topics(docs: DataFrame, n_topics: int, sample_rows: int, rounds: int = 25, seed: int = 0) -> np.ndarray:
-    """Centres from a hash sample of about ``sample_rows`` documents (512 numbers each reach the driver)."""
+def _vectors(docs: DataFrame) -> DataFrame:
+    """``doc_id``, ``lang``, ``source`` with tokens and x, the word vector as half-precision floats."""
     small_batches(docs.sparkSession)
-    share = int(min(1.0, sample_rows / max(1, docs.count())) * (1 << 30))
-    chosen = docs.filter(F.pmod(F.xxhash64("doc_id", F.lit("topics")), F.lit(1 << 30)) < share).select("text")
 
     def make() -> Callable[[dict], dict]:
         known = WordBuckets()
-        return lambda c: {"x": [word_vector(t, known)[0].astype(np.float32).tobytes() for t in c["text"].to_pylist()]}
 
-    rows = sorted(r.x for r in map_arrow(chosen, make, "x binary").collect())
-    x = np.frombuffer(b"".join(rows), np.float32).reshape(-1, WORD_BUCKETS).astype(float)
-    x = np.unique(x[x.any(1)], axis=0)
+        def step(c: dict) -> dict:
+            found = [word_vector(t, known) for t in c["text"].to_pylist()]
+            return {"doc_id": c["doc_id"], "lang": c["lang"], "source": c["source"], "tokens": [n for _, n in found],
+                    "x": [v.astype(np.float16).tobytes() for v, _ in found]}
+
+        return step
+
+    kinds = dict(docs.select("doc_id", "lang", "source").dtypes)
+    return map_arrow(docs.select("doc_id", "lang", "source", "text"), make,
+                     ", ".join(f"{n} {t}" for n, t in kinds.items()) + ", tokens long, x binary")
+
+
+def _matrix(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.float16).reshape(-1, WORD_BUCKETS).astype(np.float64)
+
+
+def fit_topics(vectors: DataFrame, n_topics: int, sample_rows: int, rounds: int = 8, seed: int = 0) -> np.ndarray:
+    """Centres of all vectors. The first ones are spread over a hash sample of about ``sample_rows`` vectors."""
+    share = int(min(1.0, sample_rows / max(1, vectors.count())) * (1 << 30))
+    chosen = vectors.filter(F.pmod(F.xxhash64("doc_id", F.lit("topics")), F.lit(1 << 30)) < share).select("x")
+    x = np.frombuffer(b"".join(sorted(r.x for r in chosen.collect())), np.float16).reshape(-1, WORD_BUCKETS)
+    x = np.unique(x[x.any(1)].astype(float), axis=0)
     if not len(x):
         return np.zeros((n_topics, WORD_BUCKETS))
     rng = np.random.default_rng(seed)
@@ -77,14 +95,22 @@ def fit_topics(docs: DataFrame, n_topics: int, sample_rows: int, rounds: int = 2
         far = np.clip(1 - (x @ centres.T).max(1), 0, None) + 1e-12
         centres = np.vstack([centres, x[rng.choice(len(x), p=far / far.sum())]])
     for _ in range(rounds):
-        own = (x @ centres.T).argmax(1)
-        for k in range(n_topics):
-            total = x[own == k].sum(0)
-            if total.any():
-                centres[k] = total / np.linalg.norm(total)
+        sums = summed(vectors.select("x"), lambda c, centres=centres: _members(_matrix(c["x"]), centres),
+                       n_topics * WORD_BUCKETS).reshape(centres.shape)
+        # sums differ in their last digits with the order of the tasks; centres are rounded, so that a run repeats
+        size = np.linalg.norm(sums, axis=1, keepdims=True)
+        moved = np.round(np.where(size > 0, sums / np.maximum(size, 1e-300), centres), 9)
+        if (moved == centres).all():
+            break
+        centres = moved
     return centres
 
 
+def _members(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    own = (x @ centres.T).argmax(1)
+    return np.stack([x[own == k].sum(0) for k in range(len(centres))])
+
+
 def with_topic(docs: DataFrame, centres: np.ndarray) -> DataFrame:
     """``docs`` with ``topic`` (int) and ``tokens`` (long: words between white space) of every whole text."""
     small_batches(docs.sparkSession)
@@ -94,7 +120,7 @@ def with_topic(docs: DataFrame, centres: np.ndarray) -> DataFrame:
         known = WordBuckets()
         for texts in batches:
             found = [word_vector(t, known) for t in texts]
-            x = np.array([v for v, _ in found]).reshape(-1, WORD_BUCKETS)
+            x = np.array([v for v, _ in found]).reshape(-1, WORD_BUCKETS).astype(np.float16).astype(float)  # as staged
             yield pd.DataFrame({"topic": (x @ centres.T).argmax(1).astype("int32"),
                                 "tokens": np.array([n for _, n in found], "int64")})
 
@@ -111,7 +137,7 @@ class Raked:
     languages: list[str]
     topics: list[int]
     inner: np.ndarray  # (languages, topics): factor of language times factor of topic
-    sources: DataFrame  # source_key, target, cells: tokens per (language, topic)
+    sources: DataFrame  # source_key, target, cells: places of the (language, topic) present, tokens there
     total: float
     rounds: int
     error: float  # largest difference of a language's or topic's share from its target
@@ -148,22 +174,20 @@ def rake(cells: DataFrame, scratch: Scratch, source_targets: DataFrame | None =
     lang_share, topic_share = _shares(by_lang, languages, power), _shares(by_topic, topics, power)
     langs, kinds = sorted(lang_share), sorted(topic_share)
     total = float(sum(by_lang.values()))
-    place = {(lang, topic): i * len(kinds) + j for i, lang in enumerate(langs) for j, topic in enumerate(kinds)}
-    width = max(1, len(place))
-    index = F.lit(0)
-    for (lang, topic), i in place.items():
-        index = F.when((F.col("lang_key") == lang) & (F.col("topic") == topic), i).otherwise(index)
-    held = F.map_from_entries(F.collect_list(F.struct(index.alias("i"), F.col(held_tokens).cast("double").alias("n"))))
-    spread = F.transform(F.sequence(F.lit(0), F.lit(width - 1)), lambda i: F.coalesce(F.element_at("held", i), F.lit(0.0)))
-    rows = (cells.filter("tokens > 0").groupBy("source_key")  # at most one row per (language, topic) of a source
-            .agg(held.alias("held"), F.sum("tokens").alias("natural")).withColumn("cells", spread).drop("held"))
+    spark = cells.sparkSession
+    place = [(lang, topic, i * len(kinds) + j) for i, lang in enumerate(langs) for j, topic in enumerate(kinds)]
+    places = spark.createDataFrame(place, "lang_key string, topic int, place int")
+    held = F.sort_array(F.collect_list(F.struct("place", F.col(held_tokens).cast("double").alias("n"))))
+    rows = (cells.filter("tokens > 0").join(places, ["lang_key", "topic"]).groupBy("source_key")
+            .agg(held.alias("held"), F.sum("tokens").alias("natural")))  # at most one entry per (language, topic)
     if source_targets is None:
         rows = rows.withColumn("target", F.pow(F.col("natural").cast("double"), F.lit(power)))
     else:
         rows = rows.join(source_targets, "source_key", "left").withColumn(
             "target", F.coalesce("target", F.col("natural") / F.lit(total)))
     whole = rows.agg(F.sum("target")).first()[0] or 1.0
-    sources = scratch.write(rows.select("source_key", (F.col("target") / whole).alias("target"), "cells"), "sources")
+    sources = scratch.write(rows.select("source_key", (F.col("target") / whole).alias("target"),
+                                        F.col("held.place").alias("place"), F.col("held.n").alias("n")), "sources")
     lang_factor, topic_factor = np.ones(len(langs)), np.ones(len(kinds))
     want_lang = np.array([lang_share[k] for k in langs])
     want_topic = np.array([topic_share[k] for k in kinds])
@@ -171,10 +195,7 @@ def rake(cells: DataFrame, scratch: Scratch, source_targets: DataFrame | None =
     while place and done < rounds:
         done += 1
         inner = np.outer(lang_factor, topic_factor)
-        raked = _outer_factor(sources, inner)
-        weights = raked.select("factor", F.posexplode("cells").alias("i", "n")).groupBy("i").agg(
-            F.sum(F.col("factor") * F.col("n"))).collect()  # one number per (language, topic)
-        share = np.array([w for _, w in sorted(map(tuple, weights))], float).reshape(inner.shape)
+        share = _round(sources, inner)
         # without the inner factors; a target of 0 has the factor 0
         shares = np.divide(share, inner, out=np.zeros_like(share), where=inner > 0)
         error = max(np.abs(share.sum(1) - want_lang).max(), np.abs(share.sum(0) - want_topic).max())
@@ -189,28 +210,152 @@ def rake(cells: DataFrame, scratch: Scratch, source_targets: DataFrame | None =
     return Raked(langs, kinds, inner, sources, total, done, float(error), lang_share, topic_share)
 
 
-def _outer_factor(sources: DataFrame, inner: np.ndarray) -> DataFrame:
-    """Each source's factor under the inner ones; ``cells`` come back weighted by the inner factors."""
-    weights = F.array(*[F.lit(float(w)) for w in inner.ravel()])
-    weighted = F.zip_with("cells", weights, lambda x, w: x * w)
-    rows = sources.withColumn("cells", weighted)
-    held = F.aggregate("cells", F.lit(0.0), lambda acc, x: acc + x)
-    return rows.withColumn("factor", F.when(held > 0, F.col("target") / held).otherwise(0.0))
+def _source_rows(c: dict) -> Iterator[tuple[int, float, np.ndarray, np.ndarray]]:
+    """(row, target, places, tokens) of each source."""
+    targets = c["target"].to_numpy(zero_copy_only=False)
+    ends = c["place"].offsets.to_numpy()
+    places, tokens = c["place"].values.to_numpy(zero_copy_only=False), c["n"].values.to_numpy(zero_copy_only=False)
+    for row, (lo, hi) in enumerate(zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)):
+        yield row, float(targets[row]), places[lo:hi], tokens[lo:hi]
+
+
+def plain_factor(target: float, weights: np.ndarray, tokens: np.ndarray) -> float:
+    """The factor a for which the tokens x weights x a add up to ``target``."""
+    held = float(weights @ tokens)
+    return target / held if held > 0 else 0.0
+
+
+def bounded_factor(target: float, weights: np.ndarray, tokens: np.ndarray) -> float:
+    """The factor a for which the tokens x min(1, weights x a) add up to ``target``; infinite if all of them are less."""
+    use = (weights > 0) & (tokens > 0)
+    w, n = weights[use], tokens[use]
+    if target <= 0 or not len(w):
+        return 0.0
+    if n.sum() <= target:
+        return np.inf
+    order = np.argsort(-w)  # the largest weights reach 1 first
+    w, n = w[order], n[order]
+    full = np.r_[0.0, np.cumsum(n)[:-1]]
+    rest = np.cumsum((w * n)[::-1])[::-1]
+    factors = (target - full) / rest  # with the first k at 1
+    return float(factors[np.flatnonzero(factors * w <= 1 + 1e-12)[0]])
+
+
+def _round(sources: DataFrame, inner: np.ndarray, drawn: float | None = None) -> np.ndarray:
+    """Sums per (language, topic) of the weights under the sources' factors; with ``drawn`` tokens in the sample, of the
+    tokens kept at most once, over ``drawn``."""
+    flat = inner.ravel()
+
+    def part(c: dict) -> np.ndarray:
+        out = np.zeros(flat.size)
+        for _, target, place, n in _source_rows(c):
+            w = flat[place]
+            if drawn is None:
+                np.add.at(out, place, plain_factor(target, w, n) * w * n)
+            else:
+                factor = bounded_factor(target * drawn, w, n)
+                chance = (w > 0).astype(float) if np.isinf(factor) else np.minimum(1.0, factor * w)
+                np.add.at(out, place, chance * n / drawn)
+        return out
+
+    return summed(sources, part, flat.size).reshape(inner.shape)
+
+
+def rates(raked: Raked, inner: np.ndarray | None = None, drawn: float | None = None) -> DataFrame:
+    """(source_key, lang_key, topic, rate): share of the mix per token, over all cells with tokens; with ``drawn`` the
+    probability of a document."""
+    flat = (raked.inner if inner is None else inner).ravel()
+    languages, topics = np.array(raked.languages, object), np.array(raked.topics)
+
+    def make() -> Callable[[dict], dict]:
+        def step(c: dict) -> dict:
+            rows, places, values = [], [np.empty(0, np.int64)], [np.empty(0)]
+            for row, target, place, n in _source_rows(c):
+                w = flat[place]
+                if drawn is None:
+                    value = plain_factor(target, w, n) * w
+                else:
+                    factor = bounded_factor(target * drawn, w, n)
+                    value = (w > 0).astype(float) if np.isinf(factor) else np.minimum(1.0, factor * w)
+                rows += [row] * len(place)
+                places.append(place)
+                values.append(value)
+            at = np.concatenate(places).astype(np.int64)
+            return {"source_key": c["source_key"].take(pa.array(rows, pa.int64())),
+                    "lang_key": languages[at // max(1, len(topics))].tolist() if len(at) else [],
+                    "topic": topics[at % max(1, len(topics))].tolist() if len(at) else [], "rate": np.concatenate(values)}
+
+        return step
+
+    return map_arrow(raked.sources, make, "source_key string, lang_key string, topic int, rate double")
+
+
+def bounded(raked: Raked, slack: float, rounds: int = 12) -> tuple[np.ndarray, float] | None:
+    """Inner factors and expected tokens of the largest sample whose probabilities stay within 1 and whose expected
+    shares differ from the targets by at most ``slack`` of each; None when no sample of some size does.
+
+    Its size starts at what the scarcest value allows and falls until the rounds meet all targets.
+    """
+    want_lang = np.array([raked.lang_targets[k] for k in raked.languages])
+    want_topic = np.array([raked.topic_targets[k] for k in raked.topics])
+    if not want_lang.size or raked.total <= 0:
+        return None
+    use = raked.inner.ravel() > 0  # cells of a value with the target 0 are never drawn
+    wanted = raked.sources.filter("target > 0")
+    natural = summed(wanted, lambda c: _natural(c, use), use.size).reshape(raked.inner.shape)
+    most = min([(natural.sum(1)[want_lang > 0] / want_lang[want_lang > 0]).min(),
+                (natural.sum(0)[want_topic > 0] / want_topic[want_topic > 0]).min(), _scarcest(wanted, use)])
+
+    def fit_to(drawn: float, inner: np.ndarray) -> np.ndarray | None:
+        for _ in range(rounds):
+            share = _round(raked.sources, inner, drawn)
+            got_lang, got_topic = share.sum(1), share.sum(0)
+            off = max(_largest_gap(got_lang, want_lang), _largest_gap(got_topic, want_topic))
+            if off <= slack / 2 and abs(share.sum() - 1) <= slack / 2:
+                return inner
+            by_lang = np.divide(want_lang, got_lang, out=np.zeros_like(want_lang), where=got_lang > 0)
+            inner = inner * by_lang[:, None]
+            share = _round(raked.sources, inner, drawn)
+            got_topic = share.sum(0)
+            inner = inner * np.divide(want_topic, got_topic, out=np.zeros_like(want_topic), where=got_topic > 0)
+            if not np.isfinite(inner).all() or not inner.any():
+                return None
+            inner = inner / inner[inner > 0].mean()
+        return None
+
+    high, low = None, most
+    while (found := fit_to(low, raked.inner)) is None:
+        high, low = low, low * (0.8 if high else 1 - slack / 4)
+        if low < most / 200:
+            return None
+    for _ in range(4 if high and high < most else 0):  # between the last size that failed and the first that did not
+        middle = (low * high) ** 0.5
+        more = fit_to(middle, found)
+        if more is None:
+            high = middle
+        else:
+            low, found = middle, more
+    return found, low
+
+
+def _natural(c: dict, use: np.ndarray) -> np.ndarray:
+    out = np.zeros(use.size)
+    for _, _, place, n in _source_rows(c):
+        np.add.at(out, place, n * use[place])
+    return out
+
+
+def _scarcest(sources: DataFrame, use: np.ndarray) -> float:
+    """Smallest number of tokens that a source can give, over its target share."""
+    def make() -> Callable[[dict], dict]:
+        return lambda c: {"most": [float((n * use[place]).sum()) / target for _, target, place, n in _source_rows(c)]}
+
+    return map_arrow(sources, make, "most double").agg(F.min("most")).first()[0] or 0.0
 
 
-def rates(raked: Raked) -> DataFrame:
-    """(source_key, lang_key, topic, rate): share of the mix per token, over all cells with tokens."""
-    index = [(lang, topic, float(raked.inner[i, j])) for i, lang in enumerate(raked.languages)
-             for j, topic in enumerate(raked.topics)]
-    rows = _outer_factor(raked.sources, raked.inner)
-    if not index:
-        return rows.select("source_key", F.lit("").alias("lang_key"), F.lit(0).alias("topic"),
-                           F.lit(0.0).alias("rate")).filter(F.lit(False))
-    parts = F.array(*[F.struct(F.lit(lang).alias("lang_key"), F.lit(topic).alias("topic"),
-                               F.get("cells", F.lit(k)).alias("held"), (F.col("factor") * w).alias("rate"))
-                      for k, (lang, topic, w) in enumerate(index)])
-    return rows.select("source_key", F.explode(parts).alias("p")).filter("p.held > 0").select(
-        "source_key", "p.lang_key", "p.topic", "p.rate")
+def _largest_gap(got: np.ndarray, want: np.ndarray) -> float:
+    gap = np.abs(np.divide(got, want, out=np.ones_like(got), where=want > 0) - 1)
+    return float(max(gap.max(initial=0.0), got[want <= 0].max(initial=0.0)))
 
 
 # ------------------------------------------------------------ sampling
@@ -243,16 +388,14 @@ def _key(column: str):
 
 def fit(measured: DataFrame, scratch: Scratch, slack: float = 0.005, trim: float | None = None,
         seed: int = 0, **targets) -> Mix:
-    """Rake the cells of measured rows (source, lang, topic, tokens) and solve for the sampling rate.
+    """Rake the cells of measured rows (source, lang, topic, tokens) and find the probabilities of the largest sample.
 
-    A cell's probability is its rate per token times a constant, at most 1. A small constant meets the targets exactly
-    but keeps few documents, as the scarcest cell sets the pace; a large one keeps everything. The constant is the
-    largest for which the expected share of every source, language and topic differs from its raked share by at most
-    ``slack`` of that share, however small it is.
+    Expected shares differ from the targets by at most ``slack`` of each target, however small it is. Where raking does
+    not meet the targets, as they contradict each other, the probabilities follow the raked weights as far as it came,
+    with the largest constant that keeps within ``slack`` of them.
 
-    Where targets contradict each other, or nearly so, raking leans on a few small cells and the sample is small. A
-    caller that would rather keep more than meet the targets gives ``trim``: weights above ``trim`` times the natural
-    ones are cut and raked again. ``Mix.error`` says how far the expected shares are from the targets in either case.
+    A caller that would rather keep more than meet the targets gives ``trim``: weights above ``trim`` times the natural
+    ones are cut and raked again. ``Mix.error`` says how far the expected shares are from the targets in any case.
     """
     cells = scratch.write(measured.groupBy(_key("source").alias("source_key"), _key("lang").alias("lang_key"), "topic")
                           .agg(F.sum("tokens").alias("tokens")).filter("tokens > 0"), "cells")
@@ -260,18 +403,35 @@ def fit(measured: DataFrame, scratch: Scratch, slack: float = 0.005, trim: float
     rated = scratch.write(rates(raked).join(cells, CELL), "rates")
     if trim is not None:
         rated = _trimmed(rated, raked.total, trim, scratch, targets)
-    constant = _constant(rated, slack, raked.total)
     per_token = F.col("rate") * raked.total
-    rated = rated.withColumns({"per_token": per_token, "probability": F.least(F.lit(1.0), per_token * constant)})
+    largest = bounded(raked, slack) if trim is None and raked.error < 1e-4 else None
+    if largest is None:
+        constant = _constant(rated, slack, raked.total)
+        rated = rated.withColumns({"per_token": per_token, "probability": F.least(F.lit(1.0), per_token * constant)})
+    else:
+        chances = rates(raked, *largest).withColumnRenamed("rate", "probability")
+        rated = scratch.write(rated.withColumn("per_token", per_token).join(chances, CELL), "chances")
     error, kept = _margin_error(rated, raked)
     if error > 2 * slack:
         logging.getLogger(__name__).warning("a share of the mix is off its target by %.3g of it", error)
     return Mix(rated.select(*CELL, "per_token", "probability"), seed, error, kept)
 
 
-def measure(docs: DataFrame, n_topics: int = 8, topic_sample: int = 4000, seed: int = 0) -> DataFrame:
-    """``docs`` with topic and tokens."""
-    return with_topic(docs, fit_topics(docs, n_topics, topic_sample, seed=seed))
+def measure(docs: DataFrame, scratch: Scratch, n_topics: int = 8, topic_sample: int = 4000,
+            seed: int = 0) -> tuple[DataFrame, DataFrame]:
+    """``docs`` with topic and tokens, and the same measures staged without texts (doc_id, lang, source)."""
+    vectors = scratch.write(_vectors(docs), "vectors")
+    centres = fit_topics(vectors, n_topics, topic_sample, seed=seed)
+
+    def make() -> Callable[[dict], dict]:
+        def step(c: dict) -> dict:
+            return {**c, "topic": (_matrix(c.pop("x")) @ centres.T).argmax(1)}
+
+        return step
+
+    kinds = ", ".join(f"{n} {t}" for n, t in vectors.dtypes if n != "x")
+    slim = scratch.write(map_arrow(vectors, make, f"{kinds}, topic int"), "measured")
+    return with_topic(docs, centres), slim
 
 
 def _trimmed(rated: DataFrame, total: float, trim: float, scratch: Scratch, targets: dict, rounds: int = 10) -> DataFrame:

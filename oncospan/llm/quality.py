@@ -6,13 +6,14 @@ prior p, the risk of a scorer g is estimated without any negative:
     p * E_pos[loss(g, +1)]  +  max(0, E_unl[loss(g, -1)] - p * E_pos[loss(g, -1)])
 
 The second term estimates the risk on negatives; clipping it at zero (the non-negative estimator) keeps a flexible scorer
-from driving it below what any scorer can reach. The prior itself is estimated from the two samples: for every score
-region S, P_unl(S) / P_pos(S) is at least p, and it is p where S holds no negatives, so p is the smallest such ratio of a
-scorer that tells positives from unlabelled.
+from driving it below what any scorer can reach. The prior is estimated over all documents: for every score region S,
+P_unl(S) / P_pos(S) is at least p, and it is p where S holds no negatives, so p is the smallest such ratio of a scorer that
+tells positives from unlabelled. The documents are dealt into two halves; each half's regions are counted, in one
+aggregation over all of them, under a scorer that learned from the other.
 
-Only the bounded samples (``sample_rows`` positives and as many unlabelled rows, chosen by a hash of doc_id) train the
-model; every whole text is scored. A text is described by shape alone (lengths, repetition, character classes); labels,
-language, source and doc_id are no inputs.
+Only bounded samples (``sample_rows`` positives and as many unlabelled rows, chosen by a hash of doc_id) set the weights
+of the scorers; every whole text is described, counted and scored. A text is described by shape alone (lengths,
+repetition, character classes); labels, language, source and doc_id are no inputs.
 
 Defined results: null text scores like empty text; every score lies between 0 and 1. A labelled doc_id that no document
 has, null labels and null doc_ids teach nothing; repeated label rows count once, and contradicting ones not as positives.
@@ -30,9 +31,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from oncospan.llm.common import map_arrow, small_batches
+from oncospan.llm.common import Scratch, map_arrow, small_batches, summed
 
 SAMPLE_ROWS = 12_000
+BINS, WIDEST = 4096, 30.0  # score regions end at multiples of 60 / 4096 of the log-odds
 
 # Byte classes.
 _KIND = np.zeros(256, np.uint8)  # 0: other
@@ -173,36 +175,78 @@ class QualityModel:
     scorer: Scorer | None
 
     def score(self, x: np.ndarray) -> np.ndarray:
-        return sigmoid(self.scorer.odds(x)) if self.scorer is not None and len(x) else np.full(len(x), 0.5)
+        if self.scorer is None or not len(x):
+            return np.full(len(x), 0.5)
+        return np.round(sigmoid(self.scorer.odds(x)), 12)  # the last digits depend on the batch
+
+
+def smallest_ratio(positive: np.ndarray, unlabelled: np.ndarray) -> float:
+    """Smallest P_unl(S) / P_pos(S) over upper score regions, from counts per bin of rising score. The ratio's own
+    error is added, and regions with less than 0.4 of the positives are too small to count."""
+    n_p, n_u = positive.sum(), unlabelled.sum()
+    if not n_p or not n_u:
+        return 0.5
+    in_p, in_u = np.cumsum(positive[::-1]) / n_p, np.cumsum(unlabelled[::-1]) / n_u
+    large = in_p >= 0.4
+    in_p, in_u = in_p[large], in_u[large]
+    error = np.sqrt(in_u * (1 - in_u) / n_u + in_u ** 2 * (1 - in_p) / in_p / n_p)
+    return float(((in_u + error) / in_p).min())
+
+
+def corpus_prior(described: DataFrame, scorers: list[Scorer]) -> float:
+    """The class prior from all described documents (fold, trusted, x); fold i is scored by scorer i."""
+    def part(c: dict) -> np.ndarray:
+        out = np.zeros((2, 2, BINS))
+        x = c["x"].flatten().to_numpy(zero_copy_only=False).reshape(-1, FEATURES)
+        fold, trusted = c["fold"].to_numpy(), c["trusted"].to_numpy(zero_copy_only=False).astype(bool)
+        for f, scorer in enumerate(scorers):
+            own = fold == f
+            odds = np.clip(scorer.odds(x[own]), -WIDEST, WIDEST)
+            at = np.minimum(((odds + WIDEST) * (BINS / (2 * WIDEST))).astype(np.int64), BINS - 1)
+            out[f, 0] += np.bincount(at[trusted[own]], minlength=BINS)
+            out[f, 1] += np.bincount(at, minlength=BINS)
+        return out
+
+    counts = summed(described.select("fold", "trusted", "x"), part, 4 * BINS).reshape(2, 2, BINS)
+    return float(np.clip(np.mean([smallest_ratio(p, u) for p, u in counts]), 0.01, 0.99))
 
 
 def fit(docs: DataFrame, positives: DataFrame, sample_rows: int = SAMPLE_ROWS) -> QualityModel:
-    """Train on a hash sample of ``positives`` (doc_id) and of ``docs`` (doc_id, text), about ``sample_rows`` of each.
-
-    The chosen ids, at most about ``sample_rows`` of 8 bytes, go to every executor; 24 numbers a row come back.
-    """
-    small_batches(docs.sparkSession)
+    """Train on a hash sample of ``positives`` (doc_id) and of ``docs`` (doc_id, text), about ``sample_rows`` of each,
+    with the prior of all ``docs``."""
+    spark = docs.sparkSession
+    scratch = Scratch(spark)
+    small_batches(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id is not null")
     trusted = positives.select(F.col("doc_id").cast("long").alias("doc_id")).filter("doc_id is not null").distinct()
-    chosen = trusted.filter(_share("positive", sample_rows, trusted.count())).withColumn("trusted", F.lit(True))
-    unlabelled = _share("unlabelled", sample_rows, docs.count())
-    rows = docs.join(F.broadcast(chosen), "doc_id", "left").filter(F.col("trusted") | unlabelled)
 
     def make() -> Callable[[dict], dict]:
-        return lambda c: {"trusted": c["trusted"], "any": c["any"],
-                          "x": [features(t).tolist() for t in c["text"].to_pylist()]}
-
-    rows = rows.select("text", F.coalesce("trusted", F.lit(False)).alias("trusted"), unlabelled.alias("any"))
-    sample = map_arrow(rows, make, "trusted boolean, any boolean, x array<double>").collect()
+        return lambda c: {"doc_id": c["doc_id"], "x": [features(t).tolist() for t in c["text"].to_pylist()]}
+
+    described = map_arrow(docs, make, "doc_id long, x array<double>").join(
+        trusted.withColumn("trusted", F.lit(True)), "doc_id", "left").withColumns(
+        {"trusted": F.coalesce("trusted", F.lit(False)), "fold": F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(2)).cast("int")})
+    described = scratch.write(described, "described")  # 24 numbers a document
+    sizes = described.agg(F.count("*").alias("n"), F.count_if("trusted").alias("n_trusted")).first()
+    positive_part = F.col("trusted") & _share("positive", sample_rows, sizes.n_trusted)
+    web_part = _share("unlabelled", sample_rows, sizes.n)
+    sample = described.filter(positive_part | web_part).select(
+        "fold", positive_part.alias("positive"), web_part.alias("web"), "x").collect()
     sample.sort(key=lambda r: r.x)  # the order of rows between runs is not fixed
-    positive = np.array([r.x for r in sample if r.trusted]).reshape(-1, FEATURES)
-    web = np.array([r.x for r in sample if r.any]).reshape(-1, FEATURES)
+
+    def rows(kind: str, seed: int) -> tuple[np.ndarray, np.ndarray]:
+        chosen = [r for r in sample if r[kind]]
+        np.random.default_rng(seed).shuffle(chosen)
+        return np.array([r.x for r in chosen]).reshape(-1, FEATURES), np.array([r.fold for r in chosen], int)
+
+    (positive, p_fold), (web, w_fold) = rows("positive", 1), rows("web", 2)
     if not len(positive) or not len(web):
         return QualityModel(0.5, None)
-    rng = np.random.default_rng(1)
-    rng.shuffle(positive)
-    rng.shuffle(web)
-    prior = estimate_prior(positive, web)
+    if all((p_fold == f).any() and (w_fold == f).any() for f in (0, 1)):
+        prior = corpus_prior(described, [train(positive[p_fold != f], web[w_fold != f], None, epochs=15) for f in (0, 1)])
+    else:
+        prior = 0.5
+    scratch.close()
     return QualityModel(prior, train(positive, web, prior))
 
 

@@ -99,8 +99,7 @@ def op5_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's cell, raked weight, probability and draw."""
     scratch = Scratch(spark)
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
-    measured = scratch.write(mixing.measure(docs).drop("text"), "measured")
+    _, measured = mixing.measure(table(spark, sf_dir, "documents"), scratch)
     return mixing.fit(measured, scratch, power=MIX_POWER).decide(measured)
 
 
@@ -109,7 +108,8 @@ def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = line_dedup.dedup_lines(table(spark, sf_dir, "documents"), Scratch(spark))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    kept = line_dedup.dedup_lines(docs, Scratch(spark))
     return kept.select(F.col("doc_id").cast("long").alias("doc_id"), "n_lines", "n_dropped",
                        F.sha2("text", 256).alias("kept_sha256"))
 
