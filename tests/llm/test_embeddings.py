@@ -81,5 +81,32 @@ def test_recall_of_links(spark, noise, least):
     assert sum(r[1] for r in got) >= least * sum(r[1] for r in want)
 
 
+def threshold_pairs(rng, n, low=0.930, high=0.932, dims=64):
+    """Pairs of unit vectors whose cosine lies in [low, high]."""
+    rows = []
+    for i in range(n):
+        u, w = rng.normal(size=(2, dims))
+        u /= np.linalg.norm(u)
+        w -= (w @ u) * u
+        c = rng.uniform(low, high)
+        v = c * u + np.sqrt(1 - c * c) * w / np.linalg.norm(w)
+        rows += [(2 * i, u.tolist(), 1), (2 * i + 1, v.tolist(), 1)]
+    return rows
+
+
+def test_recall_at_the_threshold(spark):
+    rows = threshold_pairs(np.random.default_rng(5), 1500)
+    got = run(spark, rows)
+    assert all(r[1] <= 1 for r in got)
+    assert sum(r[1] for r in got) >= 0.95 * len(rows)
+
+
+def test_exact_option_misses_nothing(spark, monkeypatch):
+    monkeypatch.setattr(embeddings, "BLOCK_ROWS", 64)
+    rows = threshold_pairs(np.random.default_rng(6), 200) + [(1000 + r[0], r[1], 2 + r[2]) for r in clusters(
+        np.random.default_rng(7), 40, 6, 0.2)]
+    assert run(spark, rows, exact=True) == brute(rows)
+
+
 def test_empty(spark):
     assert run(spark, []) == []
