@@ -14,7 +14,8 @@ Counts are summed per key before the shuffle, so a hot language, host or suffix
 adaptive execution. The model has 65,536 numbers per language.
 
 Defined results: null or wordless html has no text evidence, and a missing declaration, suffix or host is no evidence;
-a page without any witness has the corpus prior. Documents with null text or language teach nothing. Without any labelled
+a page without any witness has the corpus prior. Repeated pages are pages like any other and repeated in the result, and so
+are pages without page_id. Very long html takes time in proportion to its length. Documents with null text or language teach nothing. Without any labelled
 document the language is null. Ties go to the first language by name. Only ``page_id``, ``url``, ``html`` of pages and
 ``text``, ``lang`` of documents are read.
 """
@@ -33,7 +34,8 @@ from oncospan.llm.common import Scratch, map_arrow, small_batches
 
 BUCKETS = 1 << 16
 _CHUNK = 1 << 13
-_DROP = re.compile(r"<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>|&[a-zA-Z#0-9]+;", re.S | re.I)
+# a script, style or comment that is never closed hides the rest; every other pattern ends at the next "<" or ";"
+_DROP = re.compile(r"<(script|style)\b.*?(?:</\1\s*+>|\Z)|<!--.*?(?:-->|\Z)|<[^<>]*+>?|&[a-zA-Z#0-9]{1,32};", re.S | re.I)
 #: ASCII other than letters becomes a space.
 _LETTERS = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
 
@@ -133,7 +135,7 @@ def _address(url: Column) -> dict[str, Column]:
 
 
 def _declared(html: Column) -> Column:
-    tag = F.regexp_extract(html, r"(?i)<html\b[^>]*?\blang\s*=\s*[\"']?([A-Za-z]{2,3})", 1)
+    tag = F.regexp_extract(html, r"(?i)<html\b[^<>]*?\blang\s*=\s*[\"']?([A-Za-z]{2,3})", 1)
     return F.when(tag != "", F.lower(tag))
 
 

@@ -6,19 +6,26 @@
    white space; a blank line ends a sentence in text without block tags and in pages with <pre>.
 2. *TF-IDF cosine.* Headers and templates are sparse vectors of words, weighted by how rare a word is among all headers
    and templates. Equal headers are one vector; words that no header and template share never meet. A header has the
-   licence of the template with the largest cosine, from ``least`` upwards.
+   licence of the template with the largest cosine, from ``least`` upwards. Words that tell licences of a family apart
+   decide first: a template of another version than those that the header states, of another Creative Commons variant
+   (NC, ND, SA) or of another GNU licence is out of the question, and a header that fits two licences nearly equally well
+   (less than ``GAP`` apart), such as one that names no version, has none: no answer is better than a wrong one.
 3. *Inheritance.* Licence files and index pages (a path that ends in "/", index.*, readme*) declare the licence of their
    directory. A page without a licence of its own takes that of the nearest directory above it that declares one: its
    ancestors are joined with the declared directories by (host, path).
 
 Defined results: a page without html or without a header has no licence of its own; one without a url inherits nothing
-and declares nothing. Ties go to the licence first by name, and to the smallest page_id. Repeated rows are repeated in
-the result. Only ``page_id``, ``url`` and ``html`` are read.
+and declares nothing. A script, style or comment that is never closed hides the rest of the page; patterns look at each
+character a bounded number of times, so very long pages take time in proportion. Ties between directories' pages go to the
+licence file, the best score, the licence first by name, and the smallest page_id. Repeated rows are repeated in the
+result. Only ``page_id``, ``url`` and ``html`` are read.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -26,6 +33,7 @@ from pyspark.sql import functions as F
 from oncospan.llm.common import Scratch
 
 LEAST = 0.6
+GAP = 0.005
 LICENCE_WORD = r"(?i)licen[cs]e|copyright|rights reserved|public domain|creative commons|cc by|cc0"
 LICENCE_FILE = r"(?i)^(un)?licen[cs]e([-._].*)?$|^copying([-._].*)?$|^notice([-._].*)?$|^copyright([-._].*)?$"
 INDEX_FILE = r"(?i)^(index|default|readme)([-._].*)?$"
@@ -96,7 +104,42 @@ TEMPLATES = (
             "the Software"),
     ("MPL-2.0", "Mozilla Public License Version 2.0"),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
+    # further families and versions
+    ("Apache-1.1", "licensed under the Apache Software License, Version 1.1"),
+    ("Artistic-2.0", "licensed under the Artistic License, version 2.0"),
+    ("BSD-4-Clause", "released under the BSD 4-Clause original License"),
+    ("BSL-1.0", "distributed under the Boost Software License, Version 1.0"),
+    ("CDDL-1.0", "subject to the terms of the Common Development and Distribution License, version 1.0"),
+    ("EPL-1.0", "made available under the terms of the Eclipse Public License v1.0"),
+    ("EPL-1.0", "Eclipse Public License - v 1.0"),
+    ("EPL-2.0", "made available under the terms of the Eclipse Public License 2.0"),
+    ("EPL-2.0", "Eclipse Public License - v 2.0"),
+    ("EUPL-1.2", "licensed under the European Union Public Licence, version 1.2"),
+    ("LGPL-2.0", "licensed under the GNU Library General Public License, version 2"),
+    ("LGPL-2.1", "licensed under the GNU Lesser General Public License, version 2.1"),
+    ("LGPL-2.1", _FSF.format(_LGPL, "2.1")),
+    ("LGPL-2.1", _FSF_TITLE.format(_LGPL, "2.1, February 1999", "1991, 1999")),
+    ("MPL-1.1", "subject to the Mozilla Public License Version 1.1"),
+    ("WTFPL", "Do What The Fuck You Want To Public License, version 2"),
+    ("Zlib", "released under the zlib License"),
 )
+# Variants and versions of the Creative Commons attribution licences; "4.0" of the first three stands above.
+_VARIANTS = (("BY", "Attribution"), ("BY-NC", "Attribution-NonCommercial"), ("BY-SA", "Attribution-ShareAlike"),
+             ("BY-ND", "Attribution-NoDerivatives"), ("BY-NC-SA", "Attribution-NonCommercial-ShareAlike"),
+             ("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives"))
+TEMPLATES += tuple(
+    (f"CC-{code}-{version}", text) for code, name in _VARIANTS for version in ("4.0", "3.0", "2.5", "2.0")
+    for text in (f"licensed under a Creative Commons {name} {version} License, CC {code} {version}",
+                 f"this work is licensed under a Creative Commons {name} {version} "
+                 f"{'International' if version == '4.0' else 'Unported' if version == '3.0' else 'Generic'} License",
+                 f"licensed under CC {code} {version}")
+    if (f"CC-{code}-{version}", text) not in TEMPLATES)
+
+# Words that tell the licences of a family apart, in a header's normal form: lower-case letters, digits, dots, hyphens.
+STATED_VERSION = (r"(?:version|versions|\bv|licen[cs]es?|gpl|mpl|epl|eupl|cc0|apache|\bby(?:-[a-z]+)*|attribution[a-z-]*|"
+                  r"commercial|alike|deriv[a-z]*|international|unported)[ .-]*v?[ .]?(\d{1,2}(?:\.\d{1,2})?)(?![\d]|\.\d)")
+GNU = r"(?:(affero|lesser|library) )?general public licen[cs]e|\b([al]?)gpl"
+NC, ND, SA = r"non[ -]?commercial|\bnc\b", r"no[ -]?deriv|\bnd\b", r"share[ -]?alike|\bsa\b"
 
 
 def signs(statements: tuple[tuple[str, str], ...]) -> str:
@@ -109,25 +152,59 @@ def signs(statements: tuple[tuple[str, str], ...]) -> str:
     return "|".join(found)
 
 
-SIGN = signs(TEMPLATES)
+def literals(statements: tuple[tuple[str, str], ...]) -> list[str]:
+    """Lower-case texts of which every match of the signs holds one: those of the licence words, and the longest word of
+    each three in a row. One that holds another is left out."""
+    found = {"licen", "copyright", "rights reserved", "public domain", "creative commons", "cc by", "cc0", "\u00a9"}
+    for _, text in statements:
+        if not re.search(LICENCE_WORD, text):
+            words = re.findall(r"[^\W_]+", text.lower())
+            found |= {max(words[i:i + 3], key=len) for i in range(len(words) - 2)}
+    return sorted(w for w in found if not any(o != w and o in w for o in found))
+
+
+SIGN, LITERALS = signs(TEMPLATES), literals(TEMPLATES)
 BLOCK = (r"(p|br|div|li|ul|ol|tr|td|th|table|h[1-6]|header|footer|nav|article|section|title|head|body|html|pre|blockquote)"
          r"\b")
 
 
 # ------------------------------------------------------------ pages
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is worked out once, however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def visible_text(html: Column) -> Column:
-    """Text of a page: no scripts, styles, comments or tags; tags that end a block end a line."""
-    text = F.regexp_replace(html, r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->", " ")
-    flows = text.rlike(r"(?i)<" + BLOCK) & ~text.rlike(r"(?i)<pre\b")
-    text = F.when(flows, text).otherwise(F.regexp_replace(text, r"\s*\n[ \t\r]*\n\s*", "\u2029"))
-    text = F.regexp_replace(text, r"\s+", " ")
-    text = F.regexp_replace(text, r"(?i)</?" + BLOCK + r"[^>]*>|\u2029", "\n")
-    text = F.regexp_replace(text, r"<[^>]*>", "")
-    text = F.regexp_replace(text, r"(?i)&copy;|&#169;|&#xa9;|\u00a9", "copyright ")
+    """Text of a page: no scripts, styles, comments or tags; tags that end a block end a line.
+
+    Every pattern ends at the next character that cannot belong to it, or takes all up to its end, so a page of unclosed
+    tags or of white space is walked once per pattern.
+    """
+    def lined(text: Column) -> Column:
+        flows = text.rlike(r"(?i)<" + BLOCK) & ~text.rlike(r"(?i)<pre\b")
+        lines = F.regexp_replace(F.regexp_replace(text, r"[ \t\r\f\x0B]++", " "), r"\n(?: ?\n)++", "\u2029")
+        return F.when(flows, text).otherwise(lines)
+
+    def unmarked(text: Column) -> Column:
+        marks = F.regexp_replace(text, r"(?i)&copy;|&#169;|&#xa9;|\u00a9", "copyright ")
+        return F.when(F.contains(text, F.lit("&")) | F.contains(text, F.lit("\u00a9")), marks).otherwise(text)
+
+    text = F.regexp_replace(html, r"(?is)<(script|style)\b.*?(?:</\1\s*+>|\z)|<!--.*?(?:-->|\z)", " ")
+    text = F.regexp_replace(bound(text, lined), r"\s++", " ")
+    text = F.regexp_replace(text, r"(?i)</?" + BLOCK + r"[^<>]*+>?|\u2029", "\n")
+    text = bound(F.regexp_replace(text, r"<[^<>]*+>", ""), unmarked)
     return F.replace(F.replace(text, F.lit("&nbsp;"), F.lit(" ")), F.lit("&amp;"), F.lit("&"))
 
 
+def may_hold_sign(text: Column) -> Column:
+    """A cheap condition that every text with a sign meets: it holds one of the literals that the signs are made of."""
+    def found(low: Column) -> Column:
+        return reduce(lambda a, b: a | b, [F.contains(low, F.lit(literal)) for literal in LITERALS])
+
+    return bound(F.lower(text), found)
+
+
 def place_of(pages: DataFrame) -> DataFrame:
     """Add host, dir (without a "/" at its end; the root is ""), file, and whether the page speaks for its directory."""
     bare = F.regexp_replace("url", r"[?#].*$", "")
@@ -144,12 +221,18 @@ def place_of(pages: DataFrame) -> DataFrame:
 
 def headers(pages: DataFrame) -> DataFrame:
     """(page_id, is_licence, header): the sentences with a sign of a licence; of a licence file the whole text, too."""
-    text = pages.withColumn("_t", visible_text(F.col("html")))  # of every page: tags may part the words of a sign
-    sentences = F.filter(F.split("_t", r"\n+|(?<=[.!?])\s+"), lambda s: s.rlike(SIGN))
-    parts = F.flatten(F.transform(sentences, lambda s: F.filter(F.split(s, r"(?<=;)\s+"), lambda t: t.rlike(SIGN))))
-    sentences = F.array_union(sentences, parts)  # "...; either version 2 of the License" belongs to what is before it
-    whole = F.when(F.col("is_licence"), F.array("_t")).otherwise(F.array().cast("array<string>"))
-    rows = text.select("page_id", "is_licence", F.explode(F.concat(whole, sentences)).alias("_h"))
+    def signed(text: Column) -> Column:
+        sentences = F.filter(F.split(text, r"\n+|(?<=[.!?])(?<!\bv\.)\s+"), lambda s: s.rlike(SIGN))
+        parts = F.flatten(F.transform(sentences, lambda s: F.filter(F.split(s, r"(?<=;)\s+"), lambda t: t.rlike(SIGN))))
+        return F.array_union(sentences, parts)  # "...; either version 2 of the License" belongs to what is before it
+
+    def found(text: Column) -> Column:
+        none = F.array().cast("array<string>")
+        return F.concat(F.when(F.col("is_licence"), F.array(text)).otherwise(none),
+                        F.when(may_hold_sign(text), signed(text)).otherwise(none))
+
+    # the text of every page: tags may part the words of a sign
+    rows = pages.select("page_id", "is_licence", F.explode(bound(visible_text(F.col("html")), found)).alias("_h"))
     return rows.select("page_id", "is_licence", F.trim(F.regexp_replace(F.lower("_h"), r"[^\p{L}\p{N}.-]+", " ")).alias("header")
                        ).filter("header <> ''")
 
@@ -168,8 +251,32 @@ def templates(spark) -> DataFrame:
         "licence", F.trim(F.regexp_replace(F.lower("text"), r"[^\p{L}\p{N}.-]+", " ")).alias("header"))
 
 
-def match(found: DataFrame, scratch: Scratch, least: float = LEAST) -> DataFrame:
-    """(header, licence, score) of every distinct header that a template matches."""
+def _whole_number(version: Column) -> Column:
+    return F.regexp_replace(version, r"\.0$", "")
+
+
+def stated_versions(header: Column) -> Column:
+    return F.transform(F.regexp_extract_all(header, F.lit(STATED_VERSION), F.lit(1)), _whole_number)
+
+
+def agrees(header: Column, licence: Column) -> Column:
+    """Whether the decisive words of a header leave a licence possible."""
+    stated = stated_versions(header)
+    version = _whole_number(F.regexp_extract(licence, r"-(\d+\.\d+)$", 1))
+    ok = (version == "") | (F.size(stated) == 0) | F.array_contains(stated, version)
+    creative = licence.startswith("CC-BY")
+    for sign, part in ((NC, "-NC"), (ND, "-ND"), (SA, "-SA")):
+        ok = ok & (~creative | (header.rlike(sign) == F.contains(licence, F.lit(part))))
+    # the GNU licence that a header names first: a text may mention the others further down
+    word = F.concat(F.regexp_extract(header, GNU, 1), F.regexp_extract(header, GNU, 2))
+    named = F.when(word.isin("affero", "a"), "AGPL").when(word.isin("lesser", "library", "l"), "LGPL").otherwise("GPL")
+    gnu = licence.rlike("^[AL]?GPL-")
+    return ok & (~gnu | ~header.rlike(GNU) | (named == F.regexp_extract(licence, "^[AL]?GPL", 0)))
+
+
+def match(found: DataFrame, scratch: Scratch, least: float = LEAST, decisive: bool = False) -> DataFrame:
+    """(header, licence, score) of every distinct header that a template matches. ``decisive`` leaves out licences that
+    the header's decisive words exclude, and headers that two licences fit nearly equally well."""
     spark = found.sparkSession
     distinct = scratch.write(found.groupBy("header").agg(F.count("*").alias("n")), "headers")
     known = templates(spark)
@@ -193,8 +300,19 @@ def match(found: DataFrame, scratch: Scratch, least: float = LEAST) -> DataFrame
     dots = ours.join(F.broadcast(theirs), "word").groupBy("header", "licence", "template").agg(
         F.sum(F.col("w") * F.col("u")).alias("dot"))
     # rounded, so that sums in another order leave ties as they are
-    first = dots.groupBy("header").agg(F.min(F.struct((-F.round("dot", 9)).alias("minus"), "licence")).alias("top"))
-    first = first.select("header", "top.licence", (-F.col("top.minus")).alias("dot"))
+    if decisive:
+        dots = dots.filter(agrees(F.col("header"), F.col("licence")))
+    dots = dots.groupBy("header", "licence").agg(F.max(F.round("dot", 9)).alias("dot"))
+    top = F.min(F.struct((-F.col("dot")).alias("minus"), "licence"))
+    first = dots.groupBy("header").agg(top.alias("top")).select("header", "top.licence", (-F.col("top.minus")).alias("dot"))
+    if decisive:
+        rivals = dots.select("header", F.col("licence").alias("other"), F.col("dot").alias("near")).join(
+            first, "header").filter("other <> licence").join(norms, "header")
+        # nearly as good, or another version where the header states none
+        stem = [F.regexp_replace(c, r"-\d+\.\d+$", "") for c in ("licence", "other")]
+        unstated = (F.size(stated_versions(F.col("header"))) == 0) & (stem[0] == stem[1])
+        rivals = rivals.filter((F.col("near") > F.col("dot") - GAP * F.col("norm")) | unstated).select("header").distinct()
+        first = first.join(rivals, "header", "left_anti")
     return first.join(norms, "header").select(
         "header", "licence", F.least(F.lit(1.0), F.col("dot") / F.col("norm")).alias("score")).filter(
         F.col("score") >= least)
@@ -206,7 +324,7 @@ def scan(pages: DataFrame, scratch: Scratch, least: float = LEAST) -> DataFrame:
     """page_id, licence, score, origin (header, file, inherited or none), from_page, levels_up for every page."""
     placed = place_of(pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html"))
     found = scratch.write(headers(placed), "found")
-    matched = scratch.write(match(found, scratch, least), "matched")
+    matched = scratch.write(match(found, scratch, least, decisive=True), "matched")
     # of several licences in a page the best match, then the first by name; a licence file's text goes before the line
     # "all rights reserved" above it
     reserve = F.col("is_licence") & (F.col("licence") == "Proprietary")

@@ -1,8 +1,11 @@
 """Chat collapse, license scans and language identification against plain Python and planted cases."""
 
 import html
+import math
 import random
 import re
+import time
+from collections import Counter
 from pathlib import Path
 
 import pytest
@@ -79,6 +82,85 @@ def test_native_plans(spark, tmp_path):
         assert not re.search("Python|Pandas|Arrow", frame._jdf.queryExecution().executedPlan().toString())
 
 
+def plain_languages(pages, docs, text_weight=60.0, strength=5.0, smoothing=1.0):
+    """The fusion again over plain lists: (lang, confidence) per page."""
+    def trigrams(text):
+        kept = "".join(c if ord(c) >= 128 or c.isalpha() else " " for c in text.lower())
+        data = b" " + b" ".join(kept.encode().split()) + b" "
+        return [(int.from_bytes(data[i:i + 3], "big") * 2654435761 % 2 ** 32) >> 16 for i in range(len(data) - 2)]
+
+    counts = {}
+    for text, lang in docs:
+        if text is not None and lang is not None:
+            own = counts.setdefault(lang, Counter())
+            own.update(trigrams(text))
+    langs = sorted(counts)
+    size = {lang: sum(counts[lang].values()) + 0.5 * 65536 for lang in langs}
+
+    def normal(logs):
+        top = max(logs)
+        w = [math.exp(v - top) for v in logs]
+        return [v / sum(w) for v in w]
+
+    facts = []
+    for url, page in pages:
+        bare = re.sub(r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>|&[a-z#0-9]+;", " ", page or "")
+        found = trigrams(bare)
+        ll = [sum(math.log((counts[lang][t] + 0.5) / size[lang]) for t in found) * min(1.0, text_weight / len(found))
+              if found else 0.0 for lang in langs]
+        said = re.search(r"(?i)<html\b[^>]*?\blang\s*=\s*[\"']?([a-z]{2,3})", page or "")
+        host = re.match(r"[a-z]+://([^/:?#]+)", url or "")
+        host = re.sub(r"^www\.", "", host[1].lower()) if host else None
+        suffix = re.search(r"\.([a-z][a-z0-9-]*)$", host or "")
+        facts.append({"ll": ll, "p": normal(ll), "declared": said and said[1].lower(), "host": host,
+                      "domain": host and ".".join(host.split(".")[-2:]), "suffix": suffix and suffix[1]})
+    n = len(langs)
+    corpus = [sum(f["p"][i] for f in facts) for i in range(n)]
+    sums = {key: {} for key in ("declared", "suffix", "domain", "host")}
+    for f in facts:
+        for key, by in sums.items():
+            if f[key] is not None:
+                by[f[key]] = [a + b for a, b in zip(by.get(f[key], [0.0] * n), f["p"], strict=True)]
+    out = []
+    for f in facts:
+        base = [(c + 1) / (sum(corpus) + n) for c in corpus]
+        for key in ("domain", "host"):
+            if f[key] is not None:
+                rest = [max(0.0, a - b) for a, b in zip(sums[key][f[key]], f["p"], strict=True)]
+                base = [(r + strength * b) / (sum(rest) + strength) for r, b in zip(rest, base, strict=True)]
+        score = [v + math.log(b) for v, b in zip(f["ll"], base, strict=True)]
+        for key in ("declared", "suffix"):
+            if f[key] is not None:
+                values = len(sums[key]) + 1
+                score = [v + math.log((a + smoothing) / (c + smoothing * values))
+                         for v, a, c in zip(score, sums[key][f[key]], corpus, strict=True)]
+        post = normal(score)
+        out.append((langs[post.index(max(post))], max(post)))
+    return out
+
+
+def test_language_equals_a_plain_version(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet").orderBy("page_id").collect()
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    more = [(None, None), ("http://www.x.example.de/a", "<html lang=de><p>12 34</p></html>"), ("nowhere", "")]
+    rows = [(r.url, r.html) for r in pages] + more + [(pages[0].url, pages[0].html)]  # a repeated page
+    frame = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], PAGES)
+    got = {r.page_id: r for r in language.identify(frame, docs, Scratch(spark)).collect()}
+    want = plain_languages(rows, [(r.text, r.lang) for r in docs.collect()])
+    assert len(got) == len(rows)
+    for i, (lang, confidence) in enumerate(want):
+        assert got[i].confidence == pytest.approx(confidence, abs=1e-6), rows[i]
+        assert got[i].lang == lang or abs(confidence - 0.5) < 1e-6
+
+
+@pytest.mark.parametrize("page", ["<script" * 100_000, "<!--" * 100_000, "<" * 500_000, "&" * 500_000, "<html " * 100_000,
+                                  " " * 1_000_000])
+def test_language_of_very_long_pages(page):
+    begun = time.monotonic()
+    language.visible(page)
+    assert time.monotonic() - begun < 2
+
+
 # ------------------------------------------------------------ licences
 
 PAGES = "page_id long, url string, html string"
@@ -217,6 +299,49 @@ def test_whole_licence_files(spark):
     assert got == [name for name, _ in made for _ in range(2)]  # b.html inherits
 
 
+DECIDED = {
+    "This library is licensed under the GNU Lesser General Public License, version 2.1.": "LGPL-2.1",
+    "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General "
+    "Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) "
+    "any later version.": "LGPL-2.1",
+    "This work is licensed under the GNU General Public License, version 1.": None,
+    "This work is licensed under the GNU General Public License.": None,
+    "Licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.": "CC-BY-ND-4.0",
+    "Licensed under CC BY-ND 4.0.": "CC-BY-ND-4.0",
+    "Licensed under CC BY-NC-SA 3.0.": "CC-BY-NC-SA-3.0",
+    "Licensed under CC BY 4.0.": "CC-BY-4.0",
+    "Licensed under CC BY 1.0.": None,
+    "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0.": "EPL-2.0",
+    "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.": "MPL-2.0",
+    "Subject to the Mozilla Public License Version 1.1.": "MPL-1.1",
+    "Licensed under the Apache License, Version 2.0.": "Apache-2.0",
+    "Copyright (c) 2019 A. Writer. Released under the MIT License 2019.": "MIT",
+    "All rights reserved.": "Proprietary",
+}
+
+
+def test_versions_and_variants_decide(spark):
+    pages = [(f"http://d{i}.org/a.html", f"<p>{t}</p>") for i, t in enumerate(DECIDED)]
+    assert dict(zip(DECIDED, licence_of(spark, pages), strict=True)) == DECIDED
+
+
+def test_signs_hold_a_literal():
+    statements = [t for _, t in licenses.TEMPLATES] + ["cc0", "LICENCE", "All Rights Reserved", "a PUBLIC DOMAIN work"]
+    assert all(any(word in t.lower() for word in licenses.LITERALS) for t in statements)
+
+
+@pytest.mark.parametrize("page", ["<p>x</p>" + " " * 1_000_000, " " * 1_000_000, "<script" * 150_000, "<" * 1_000_000,
+                                  "<!--" * 250_000, "\n \n" * 300_000, "<p " * 300_000, "&" * 1_000_000,
+                                  "</p" * 300_000, "<style>" * 140_000])
+def test_very_long_pages_take_linear_time(spark, page):
+    frame = spark.createDataFrame([(1, "http://a.org/x", page)], PAGES)
+    rows = licenses.headers(licenses.place_of(frame))
+    rows.collect()  # compiled
+    begun = time.monotonic()
+    assert rows.collect() == []
+    assert time.monotonic() - begun < 3
+
+
 def test_licences_empty(spark):
     assert licenses.scan(spark.createDataFrame([], PAGES), Scratch(spark)).count() == 0
 
