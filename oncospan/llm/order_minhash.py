@@ -10,7 +10,8 @@ Each text costs one sort of 64-bit numbers (40 bits of hash, 24 of position), wh
 steps are linear or a sort in the length of the text, also for texts that repeat one word.
 
 Defined results: null is the empty text. A text without words has the empty fingerprint, like to itself only. Fewer than
-``k`` words are one k-mer. Fewer than ``order`` k-mers give tuples of all there are. Only the named columns are read.
+``k`` words are one k-mer. Fewer than ``order`` k-mers give tuples of all there are. In a text of more than 2**24 words
+positions count modulo 2**24. Only the named columns are read.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 K, ORDER, SKETCHES = 3, 2, 64
+RANGE_CHARS, MOST_RANGES = 1 << 24, 1 << 14
 _POSITION_BITS = 24
 _POSITIONS = (1 << _POSITION_BITS) - 1
 
@@ -89,11 +91,13 @@ def with_next(rows: DataFrame, doc_id: str, *columns: str) -> DataFrame:
     """Add ``next_<column>``: each row's successor by ascending id, ties by the columns in turn; after the last the first.
 
     Ids are cut into ranges at approximate quantiles, which take one aggregation; the first row of the next range is
-    copied into each range, so a range is a window of its own and no row's text moves more than once. Rows without id
-    come first.
+    copied into each range, so a range is a window of its own and no row's text moves more than once. There are as many
+    ranges as the first column's characters fill (``RANGE_CHARS``), so a task's share does not grow with the table. Rows
+    without id come first.
     """
     spark = rows.sparkSession
-    n_ranges = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    chars = rows.agg(F.sum(F.length(columns[0]))).first()[0] or 0
+    n_ranges = min(MOST_RANGES, max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-chars // RANGE_CHARS)))
     keyed = rows.withColumn("_key", F.coalesce(F.col(doc_id), F.lit(-(1 << 63))))
     cuts = keyed.agg(F.percentile_approx("_key", [i / n_ranges for i in range(1, n_ranges)], 10 * n_ranges)).first()[0]
     keyed = keyed.withColumn("_range", _range_of(F.col("_key"), sorted(set(cuts or []))))
