@@ -222,9 +222,12 @@ def place_of(pages: DataFrame) -> DataFrame:
 def headers(pages: DataFrame) -> DataFrame:
     """(page_id, is_licence, header): the sentences with a sign of a licence; of a licence file the whole text, too."""
     def signed(text: Column) -> Column:
-        sentences = F.filter(F.split(text, r"\n+|(?<=[.!?])(?<!\bv\.)\s+"), lambda s: s.rlike(SIGN))
-        parts = F.flatten(F.transform(sentences, lambda s: F.filter(F.split(s, r"(?<=;)\s+"), lambda t: t.rlike(SIGN))))
-        return F.array_union(sentences, parts)  # "...; either version 2 of the License" belongs to what is before it
+        sentences = F.filter(F.split(text, r"\n+|(?<=[.!?])(?<!\bv\.)\s+"),
+                             lambda s: may_hold_sign(s) & s.rlike(SIGN))
+        # "...; either version 2 of the License" belongs to what is before it
+        return bound(sentences, lambda found: F.array_union(found, F.flatten(F.transform(
+            F.filter(found, lambda s: F.contains(s, F.lit(";"))),
+            lambda s: F.filter(F.split(s, r"(?<=;)\s+"), lambda t: t.rlike(SIGN))))))
 
     def found(text: Column) -> Column:
         none = F.array().cast("array<string>")
