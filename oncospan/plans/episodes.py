@@ -14,6 +14,10 @@ from oncospan.schemas import conform
 from oncospan.staging import Stage
 
 DISEASE, REGIMEN, DRUG = 32533, 32531, 32941
+REQUIRED = ["person_id", "episode_concept_id", "episode_start_date", "episode_object_concept_id"]
+# episodes of a person are numbered in this order
+TURN = ["episode_concept_id", "episode_start_date", "episode_number", "episode_object_concept_id",
+        "episode_source_value", "episode_source_concept_id", "episode_end_date"]
 # Event table -> (id column, date column, concept of the id field).
 EVENT_FIELDS = {
     "condition_occurrence": ("condition_occurrence_id", "condition_start_date", 1147127),
@@ -157,12 +161,9 @@ def drug_episode(temp_drug: DataFrame, conditions: DataFrame, stage: Stage) -> D
 
 
 def episode(parts: list[DataFrame], stage: Stage) -> DataFrame:
-    rows = stage.counts.require(union_all(parts), "episode", ["person_id", "episode_concept_id", "episode_start_date",
-                                                              "episode_object_concept_id"])
-    order = ["person_id", "episode_concept_id", "episode_start_date", "episode_number", "episode_object_concept_id",
-             "episode_source_value", "episode_source_concept_id", "episode_end_date"]
-    numbered = number_rows(rows.withColumn("episode_type_concept_id", F.lit(32546)), order, stage, "episode",
-                           "episode_id")
+    rows = stage.counts.require(union_all(parts), "episode", REQUIRED)
+    numbered = number_rows(rows.withColumn("episode_type_concept_id", F.lit(32546)), ["person_id", *TURN], stage,
+                           "episode", "episode_id")
     return conform(numbered, "episode")
 
 

@@ -304,7 +304,11 @@ class RegistryPipeline:
 
     @cached_property
     def dynamics_paths(self) -> DataFrame:
-        return reports.dynamics_paths(self.episode, self.concept)
+        """From the episodes where they are at hand, else from the dynamic ones alone: no other kind is built for it."""
+        if "episode" in self.__dict__:
+            return reports.dynamics_paths(self.episode, self.concept)
+        dynamic = episodes.state_episode(self.disease_dynamic, self.tumor_conditions)
+        return reports.dynamics_paths(dynamic.dropna(subset=episodes.REQUIRED), self.concept)
 
     def registry_tables(self) -> dict[str, DataFrame]:
         """The imported tables as they are counted: lists already spread over rows."""

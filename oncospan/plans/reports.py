@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from oncospan.operators.paths import ordered_paths
 from oncospan.operators.sets import union_all
+from oncospan.plans.episodes import TURN
 
 # CDM table -> prefix of its source value, source concept and concept columns.
 OVERVIEW_TABLES = {"condition_occurrence": "condition", "drug_exposure": "drug", "procedure_occurrence": "procedure",
@@ -177,14 +178,18 @@ def _named(concept: DataFrame, key: str, **columns: str) -> DataFrame:
 
 
 def dynamics_paths(episode: DataFrame, concept: DataFrame, code_part: str = "C50") -> DataFrame:
-    """Disease dynamics in time order per person and source concept whose code contains ``code_part``."""
+    """Disease dynamics in time order per person and source concept whose code contains ``code_part``.
+
+    ``episode`` may be the dynamic episodes alone and without their numbers; the order that numbers them then breaks ties.
+    """
     dynamic = concept.filter("concept_class_id = 'Disease Dynamic'")
     source = concept.filter(F.contains("concept_code", F.lit(code_part)))
     rows = (episode.join(_named(dynamic, "_dynamic", concept_name="concept_name"),
                          F.col("episode_concept_id") == F.col("_dynamic"))
             .join(_named(source, "_source"), F.col("episode_source_concept_id") == F.col("_source")))
-    return ordered_paths(rows, ["person_id", "episode_source_concept_id"], ["episode_start_date", "episode_id"],
-                         "concept_name")
+    turn = ["episode_id"] if "episode_id" in episode.columns else TURN
+    return ordered_paths(rows, ["person_id", "episode_source_concept_id"],
+                         ["episode_start_date", *(c for c in turn if c != "episode_start_date")], "concept_name")
 
 
 def regimen_paths(episode: DataFrame, concept: DataFrame, code_part: str = "C50",
