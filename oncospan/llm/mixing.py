@@ -162,15 +162,29 @@ def _shares(natural: dict, target: dict | None, power: float) -> dict:
 
 
 def rake(cells: DataFrame, scratch: Scratch, source_targets: DataFrame | None = None, languages: dict | None = None,
-         topics: dict | None = None, power: float = 0.7, tolerance: float = 1e-7, rounds: int = 60) -> Raked:
+         topics: dict | None = None, power: float = 0.7, tolerance: float = 1e-7, rounds: int = 60,
+         temper: str = "margins") -> Raked:
     """``cells``: source_key, lang_key, topic, tokens. Targets: shares by value; a missing one is tempered by ``power``.
 
+    With ``temper`` "margins" a missing target is in proportion to the value's tokens ** power. Where topics nearly follow
+    languages such targets contradict each other a little, which a few rare cells then have to make up for. With "cells"
+    it is the sum of tokens ** power over the value's cells: all missing targets are margins of one table and agree.
+
     ``source_targets`` (source_key, target) may be large and stays distributed. A column ``start`` holds weights to rake
     in place of the tokens; natural shares are those of the tokens either way.
     """
+    if temper not in ("margins", "cells"):
+        raise ValueError('temper is "margins" or "cells"')
+    raised = F.pow(F.col("tokens").cast("double"), F.lit(power))
     held_tokens = "start" if "start" in cells.columns else "tokens"
     by_lang = {r[0]: r[1] for r in cells.groupBy("lang_key").agg(F.sum("tokens")).collect()}
     by_topic = {r[0]: r[1] for r in cells.groupBy("topic").agg(F.sum("tokens")).collect()}
+    if temper == "cells":
+        whole = cells.filter("tokens > 0").agg(F.sum(raised)).first()[0] or 1.0
+        by_cell = {name: {r[0]: r[1] / whole for r in cells.filter("tokens > 0").groupBy(name).agg(F.sum(raised)).collect()}
+                   for name in ("lang_key", "topic")}
+        languages = by_cell["lang_key"] if languages is None else languages
+        topics = by_cell["topic"] if topics is None else topics
     lang_share, topic_share = _shares(by_lang, languages, power), _shares(by_topic, topics, power)
     langs, kinds = sorted(lang_share), sorted(topic_share)
     total = float(sum(by_lang.values()))
@@ -179,9 +193,11 @@ def rake(cells: DataFrame, scratch: Scratch, source_targets: DataFrame | None =
     places = spark.createDataFrame(place, "lang_key string, topic int, place int")
     held = F.sort_array(F.collect_list(F.struct("place", F.col(held_tokens).cast("double").alias("n"))))
     rows = (cells.filter("tokens > 0").join(places, ["lang_key", "topic"]).groupBy("source_key")
-            .agg(held.alias("held"), F.sum("tokens").alias("natural")))  # at most one entry per (language, topic)
+            .agg(held.alias("held"), F.sum("tokens").alias("natural"),  # at most one entry per (language, topic)
+                 F.sum(raised).alias("raised")))
     if source_targets is None:
-        rows = rows.withColumn("target", F.pow(F.col("natural").cast("double"), F.lit(power)))
+        rows = rows.withColumn("target", F.col("raised") if temper == "cells" else F.pow(
+            F.col("natural").cast("double"), F.lit(power)))
     else:
         rows = rows.join(source_targets, "source_key", "left").withColumn(
             "target", F.coalesce("target", F.col("natural") / F.lit(total)))

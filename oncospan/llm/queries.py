@@ -27,7 +27,7 @@ from oncospan.llm.jaccard import JaccardJoin
 
 TOKENIZER = "word_bpe_49k.json"
 PIECES, END_PIECE = "piece_bpe_32k.model", 2
-MIX_POWER = 0.9  # target shares of sources, languages and topics are in proportion to tokens ** MIX_POWER
+MIX_POWER = 0.9  # target shares are the margins of tokens ** MIX_POWER over (source, language, topic)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -100,7 +100,7 @@ def op6_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's cell, raked weight, probability and draw."""
     scratch = Scratch(spark)
     _, measured = mixing.measure(table(spark, sf_dir, "documents"), scratch)
-    return mixing.fit(measured, scratch, power=MIX_POWER).decide(measured)
+    return mixing.fit(measured, scratch, power=MIX_POWER, temper="cells").decide(measured)
 
 
 def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:

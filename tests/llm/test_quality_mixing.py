@@ -207,6 +207,28 @@ def test_sample_is_as_large_as_the_scarcest_value_allows(spark):
     assert drawn / whole > 0.9 * most
 
 
+def test_cell_targets_agree_and_keep_most(spark):
+    """Topics that nearly follow languages: margins tempered one by one would hang on the few odd documents."""
+    rng = random.Random(8)
+    sizes = {("a", 0): 60, ("a", 1): 60, ("a", 2): 60, ("b", 3): 30, ("c", 4): 4}
+    made = [(f"{lang}{t}{i}", f"s{i % 3}", lang, t, rng.randrange(50, 150)) for (lang, t), n in sizes.items() for i in range(n)]
+    made += [("x", "s0", "a", 3, 20), ("y", "s1", "b", 4, 20), ("z", "s2", "c", 0, 20)]
+    docs = spark.createDataFrame(made, "doc_id string, source string, lang string, topic int, tokens long")
+    one = mixing.fit(docs, Scratch(spark), power=0.8)
+    both = mixing.fit(docs, Scratch(spark), power=0.8, temper="cells")
+    assert both.error <= 0.011 and both.kept > 0.4 and both.kept > 3 * one.kept
+    got = both.decide(docs).collect()
+    drawn = sum(r.tokens * r.probability for r in got)
+    raised = {}
+    for r in got:
+        raised[r.source, r.lang, r.topic] = raised.get((r.source, r.lang, r.topic), 0) + r.tokens
+    raised = {k: v ** 0.8 for k, v in raised.items()}
+    for at, key in enumerate(("source", "lang", "topic")):
+        for value in {k[at] for k in raised}:
+            want = sum(v for k, v in raised.items() if k[at] == value) / sum(raised.values())
+            assert sum(r.tokens * r.probability for r in got if r[key] == value) / drawn == pytest.approx(want, rel=0.012)
+
+
 def test_sample_follows_the_weights(spark):
     got = op6_mix(spark, SF).collect()
     assert len(got) == 1000 and sum(r.weight for r in got) == pytest.approx(sum(r.tokens for r in got))
