@@ -56,7 +56,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sample documents so that sources, languages and topics have their tempered target shares."""
     scratch = Scratch(spark)
     measured, slim = mixing.measure(docs, scratch)
-    return mixing.fit(slim, scratch, power=MIX_POWER).decide(measured).filter("sampled").select(*COLUMNS)
+    return mixing.fit(slim, scratch, power=MIX_POWER, temper="cells").decide(measured).filter("sampled").select(*COLUMNS)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
