@@ -323,12 +323,16 @@ def bounded(raked: Raked, slack: float, rounds: int = 12) -> tuple[np.ndarray, f
                 (natural.sum(0)[want_topic > 0] / want_topic[want_topic > 0]).min(), _scarcest(wanted, use)])
 
     def fit_to(drawn: float, inner: np.ndarray) -> np.ndarray | None:
+        gaps: list[float] = []
         for _ in range(rounds):
             share = _round(raked.sources, inner, drawn)
             got_lang, got_topic = share.sum(1), share.sum(0)
             off = max(_largest_gap(got_lang, want_lang), _largest_gap(got_topic, want_topic))
             if off <= slack / 2 and abs(share.sum() - 1) <= slack / 2:
                 return inner
+            gaps.append(off)
+            if len(gaps) > 3 and off > 0.7 * gaps[-4]:  # no sample of this size
+                return None
             by_lang = np.divide(want_lang, got_lang, out=np.zeros_like(want_lang), where=got_lang > 0)
             inner = inner * by_lang[:, None]
             share = _round(raked.sources, inner, drawn)
@@ -341,7 +345,7 @@ def bounded(raked: Raked, slack: float, rounds: int = 12) -> tuple[np.ndarray, f
 
     high, low = None, most
     while (found := fit_to(low, raked.inner)) is None:
-        high, low = low, low * (0.8 if high else 1 - slack / 4)
+        high, low = low, low * (0.7 if high else 1 - slack / 4)
         if low < most / 200:
             return None
     for _ in range(4 if high and high < most else 0):  # between the last size that failed and the first that did not
