@@ -1,8 +1,17 @@
 """What a run writes and shuffles stays in proportion to its input."""
 
+import datetime
 from pathlib import Path
 
-from oncospan.plans import roundtrip
+import pytest
+from pyspark.sql import functions as F
+
+from oncospan.operators.ids import number_rows
+from oncospan.operators.intervals import events_in_intervals
+from oncospan.operators.lookup import lookup, seen
+from oncospan.plans import clinical, prep, roundtrip
+from oncospan.plans.driver_views import load_sources
+from oncospan.session import tune
 from oncospan.sources.obds_xml import read_obds
 
 
@@ -70,3 +79,119 @@ def test_obds_records_meet_in_one_shuffle(spark, stage):
         type(spark.range(0).write).text = text
     assert plans[0].count("Exchange hashpartitioning(bucket") == 1
     assert plans[0].count("Exchange ") == 2
+
+
+# ---------------------------------------------------------------- sources
+
+DAY = datetime.datetime(2001, 2, 3)
+
+
+@pytest.fixture(scope="module")
+def tables(spark, tmp_path_factory):
+    """The driver's tables with repeated and null keys."""
+    folder = str(tmp_path_factory.mktemp("tables"))
+    spark.createDataFrame([(1, 3, "MACHINERY"), (2, 4, "HOUSEHOLD"), (2, 5, "HOUSEHOLD"), (None, 3, "BUILDING")],
+                          "c_custkey long, c_nationkey int, c_mktsegment string").write.parquet(f"{folder}/customer.parquet")
+    spark.createDataFrame([(10, 1, "F", DAY, "1-URGENT"), (20, 2, "O", DAY, "3-MEDIUM"), (20, 2, "O", DAY, "3-MEDIUM"),
+                           (None, 1, "F", DAY, "2-HIGH"), (29, 1, None, DAY, None)],
+                          "o_orderkey long, o_custkey long, o_orderstatus string, o_orderdate timestamp, o_orderpriority "
+                          "string").write.parquet(f"{folder}/orders.parquet")
+    spark.createDataFrame([(key, line, part, part + 1) for key in (10, 20, 29, 77, None) for line in (1, 3, 5, 5, 7, None)
+                           for part in (4, 9)],
+                          "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long"
+                          ).write.parquet(f"{folder}/lineitem.parquet")
+    spark.createDataFrame([(n, n // 4, DAY, "view") for n in range(12)],
+                          "event_id long, user_id long, ts timestamp, event_type string"
+                          ).write.parquet(f"{folder}/events.parquet")
+    spark.createDataFrame([(3, "A"), (4, "B")], "n_nationkey int, n_name string").write.parquet(f"{folder}/nation.parquet")
+    spark.createDataFrame([(7,)], "p_partkey long").write.parquet(f"{folder}/part.parquet")
+    return folder
+
+
+@pytest.mark.parametrize("name", ["tumor", "op", "systemtherapie", "strahlentherapie", "fe"])
+def test_staged_sources_have_the_rows_of_the_views(spark, stage, tables, name):
+    rows, views = load_sources(spark, tables, stage)[name], load_sources(spark, tables)[name]
+    assert rows.schema.names == views.schema.names and [f.dataType for f in rows.schema] == [f.dataType for f in views.schema]
+    assert sorted(map(repr, rows.collect())) == sorted(map(repr, views.collect())) != []
+
+
+def test_line_items_are_read_once_for_three_sources(spark, stage, tables):
+    sources = load_sources(spark, tables, stage)
+    for name in ("op", "systemtherapie", "strahlentherapie"):
+        assert not [f for f in sources[name].inputFiles() if f"{tables}/lineitem" in f]
+
+
+# ---------------------------------------------------------------- joins and numbers
+
+def test_large_vocabulary_moves_no_rows(spark, stage):
+    """A hot code and a vocabulary beyond the broadcast size: the rows stay where they are."""
+    vocabulary = stage.write(spark.range(30_000).select(F.concat(F.lit("c"), F.col("id")).alias("_code"), "id"), "voc")
+    rows = stage.write(spark.range(9000).select(F.expr("case when id % 3 = 0 then null else 'c7' end").alias("c"),
+                                                F.md5(F.col("id").cast("string")).alias("rest")), "rows")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", 20_000)
+    try:
+        plain = lookup(rows, F.col("c"), vocabulary)
+        found = lookup(rows, F.col("c"), seen(vocabulary, rows, F.col("c"), stage, "seen"))
+        assert "Exchange hashpartitioning" in plain._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange hashpartitioning" not in found._jdf.queryExecution().executedPlan().toString()
+        assert found.groupBy("c", "id").count().collect() == plain.groupBy("c", "id").count().collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_numbers_without_a_first_copy(spark, stage):
+    rows = number_rows(spark.range(1000).select((F.col("id") * 7 % 1000).alias("k")), ["k"], stage, "direct", "n",
+                       run_once=False)
+    assert sorted((r["k"], r["n"]) for r in rows.collect()) == [(k, k + 1) for k in range(1000)]
+    assert sorted(p.name.split("-", 1)[1] for p in Path(stage.path).iterdir()) == ["direct", "direct_starts"]
+
+
+def test_event_log_holds_a_record_id_once(spark, stage, tables):
+    sources = load_sources(spark, tables, stage)
+    kinds = {kind: prep.prepare_event(kind, sources[kind]) for kind in prep.VISIT_TABLES[1:]}
+    kinds["tumor"] = prep.prepare_tumor(sources["tumor"], sources["inzidenzort_mapping"])
+    log = prep.event_log(kinds, stage)
+    assert not [k for k in prep.VISIT_TABLES if prep.RECORD_ID[k] in log.schema[k].dataType.names]
+    back = prep.from_log(log)
+    for kind, df in kinds.items():
+        assert sorted(map(repr, back[kind].select(df.columns).collect())) == sorted(map(repr, df.collect()))
+
+
+def test_light_buckets_shuffle_events_once(spark, stage):
+    days = [(1, k, datetime.date(2020, 1, 1 + k % 28)) for k in range(200)]
+    events = stage.write(spark.createDataFrame(days, "p int, event int, event_date date"), "events")
+    spans = stage.write(spark.createDataFrame([(1, s, datetime.date(2020, 1, 1 + s), datetime.date(2020, 2, s + 1))
+                                               for s in range(9)], "p int, span int, start_date date, end_date date"), "spans")
+    pairs = events_in_intervals(spans, events, "p", stage=stage)
+    assert pairs._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") <= 2
+    plain = events_in_intervals(spans, events, "p")
+    assert sorted(map(repr, pairs.collect())) == sorted(map(repr, plain.collect()))
+
+
+def test_measurements_are_shuffled_once_until_linked(spark, stage):
+    """Distinct rows and their links by one shuffle of the rows."""
+    keys = "icdo3 string, pat_id string, tumor_id string, person_id long, v int"
+    rows = stage.write(spark.createDataFrame([("m", "p", "t", 1, 1), ("m", "p", "t", 1, 1), (None, "p", "t", 1, 2)], keys),
+                       "coded").repartition(*clinical.TUMOR_KEYS).distinct()
+    links = stage.write(spark.createDataFrame([(5, 1, "m", "p", "t")], "condition_occurrence_id long, _person long, "
+                                              "_icdo3 string, _pat string, _tumor string"), "links")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        linked = clinical._link(rows, links, False)
+        assert linked._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 2
+        assert sorted(linked.select("v", "condition_occurrence_id").collect()) == [(1, 5), (2, None)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_partitions_grow_with_the_input(spark):
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    tune(spark, 1 << 20)
+    assert spark.conf.get(key, None) is None
+    tune(spark, 1 << 30)
+    try:
+        assert int(spark.conf.get(key)) == 256
+    finally:
+        spark.conf.unset(key)
