@@ -37,6 +37,16 @@ def test_chunked_ids_equal_the_tokenizers(spark):
         assert np.frombuffer(ours.encode(text), "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
 
 
+def test_encoder_remembers_a_bounded_number_of_words():
+    whole, ours = Tokenizer.from_file(PATH), packing.WordEncoder(packing.read_text(PATH), cache_words=50)
+    for at in range(0, 2000, 100):
+        text = " ".join(f"the w{'abcdefghij'[i % 10] * (i // 10 % 7)}{'klmnopqrst'[i % 7] * (i // 70)}," for i in range(at, at + 100))
+        assert np.frombuffer(ours.encode(text), "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
+        for known in (ours.chunks, ours.pieces):
+            assert len(known) <= 50 and len(known.older) <= 50
+    assert "the" in ours.chunks or "the" in ours.chunks.older
+
+
 def test_pack_covers_every_id_once(spark, scratch):
     texts = [None, "", "a b c", *ODD, "many words here " * 2000, "a b c"]
     rows = docs_of(spark, texts).withColumn("ids", F.lit("clash")).withColumn("offset", F.lit(1)).repartition(3)
