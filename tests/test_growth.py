@@ -12,6 +12,7 @@ from oncospan.operators.lookup import lookup, seen
 from oncospan.plans import clinical, prep, roundtrip
 from oncospan.plans.driver_views import load_sources
 from oncospan.session import tune
+from oncospan.staging import Stage
 from oncospan.sources.obds_xml import read_obds
 
 
@@ -195,3 +196,10 @@ def test_partitions_grow_with_the_input(spark):
         assert int(spark.conf.get(key)) == 256
     finally:
         spark.conf.unset(key)
+
+
+def test_stage_files_are_compressed_well(spark, tmp_path):
+    tune(spark)
+    Stage(spark, str(tmp_path)).write(spark.range(10), "rows")
+    files = [f.name for f in tmp_path.rglob("*.parquet") if f.is_file()]
+    assert files and all(f.endswith(".zstd.parquet") for f in files)
