@@ -203,3 +203,47 @@ def test_stage_files_are_compressed_well(spark, tmp_path):
     Stage(spark, str(tmp_path)).write(spark.range(10), "rows")
     files = [f.name for f in tmp_path.rglob("*.parquet") if f.is_file()]
     assert files and all(f.endswith(".zstd.parquet") for f in files)
+
+
+def test_log_by_patient_has_the_rows_of_the_joins(spark, stage):
+    """Patients and tumors listed twice, events of unknown tumors and missing keys: as the joins give them."""
+    sources = registry(spark)
+    districts = spark.createDataFrame([(1,)], "Landkreis_Nr long")
+    tumor = sources["tumor"].withColumn("Diagnosedatum", F.lit(datetime.date(2001, 2, 3)))
+    register = F.when(F.col("Patient_ID_FK") == "2", "02").otherwise("01")
+    tables = {"tumor": prep.prepare_tumor(tumor, districts),
+              **{kind: prep.prepare_event(kind, sources[kind].withColumn("Register_ID_FK", register))
+                 for kind in prep.VISIT_TABLES[1:]}}
+    person = spark.createDataFrame([(1, "1_01"), (2, "2_02"), (3, "2_02")], "person_id long, person_source_value string")
+    met = {kind: prep.attach_tumor(tables[kind], prep.attach_person(tables["tumor"], person))
+           for kind in prep.VISIT_TABLES[1:]}
+    met["fe"] = prep.attach_person(met["fe"].drop("person_id"), person)
+    joined = prep.event_log({"tumor": prep.attach_person(tables["tumor"], person), **met}, stage)
+    grouped = prep.event_log_by_patient(tables, person, stage)
+
+    for kind, rows in prep.from_log(grouped).items():
+        same = prep.from_log(joined)[kind]
+        assert [(f.name, f.dataType) for f in rows.schema] == [(f.name, f.dataType) for f in same.schema]
+        # rows of one id may take turns
+        assert sorted(map(repr, rows.drop("visit", "ID").collect())) == sorted(map(repr, same.drop("visit", "ID").collect())) != []
+    order = [(r["kind"], r["pat_id"], r["record_id"]) for r in joined.sort("visit").collect()]
+    numbered = grouped.sort("visit").collect()
+    assert [r["visit"] for r in numbered] == list(range(1, len(order) + 1))
+    assert [(r["kind"], r["pat_id"], r["record_id"]) for r in numbered] == order
+
+
+def test_log_by_patient_takes_one_shuffle(spark, stage):
+    tables = {"tumor": prep.prepare_tumor(registry(spark)["tumor"], spark.createDataFrame([(1,)], "Landkreis_Nr long")),
+              **{kind: prep.prepare_event(kind, registry(spark)[kind]) for kind in prep.VISIT_TABLES[1:]}}
+    person = spark.createDataFrame([(1, "1_01")], "person_id long, person_source_value string")
+    plans, write = {}, stage.write
+    stage.write = lambda df, name, *by: (plans.update({name: df._jdf.queryExecution().executedPlan().toString()}),
+                                         write(df, name, *by))[1]
+    prep.event_log_by_patient(tables, person, stage)
+    assert plans["event_log"].count("Exchange rangepartitioning(pat_id") == 1
+    assert plans["event_log"].count("Exchange hashpartitioning(pat_id") == 0
+
+
+def test_crowded_patients(spark):
+    tables = {kind: spark.createDataFrame([("1_01",), ("1_01",), ("2_02",)], "pat_id string") for kind in prep.VISIT_TABLES}
+    assert prep.crowded(tables, 9) and not prep.crowded(tables, 10)
