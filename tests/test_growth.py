@@ -82,6 +82,38 @@ def test_obds_records_meet_in_one_shuffle(spark, stage):
     assert plans[0].count("Exchange ") == 2
 
 
+def test_obds_records_travel_as_values(spark, stage):
+    """What the shuffle by bucket carries are the records' values; elements are built behind it."""
+    plans = []
+    text = type(spark.range(0).write).text
+
+    def planned(writer, path, **options):
+        plans.append(writer._df._jdf.queryExecution().executedPlan().toString())
+        return text(writer, path, **options)
+
+    spark.conf.set("spark.sql.debug.maxToStringFields", 1000)
+    type(spark.range(0).write).text = planned
+    try:
+        roundtrip.write_obds(registry(spark), stage.next_path("obds"))
+    finally:
+        type(spark.range(0).write).text = text
+        spark.conf.unset("spark.sql.debug.maxToStringFields")
+    behind, before = plans[0].split("Exchange hashpartitioning(bucket")
+    for element in ("Menge_OPS,", "Tumorseite", "Stereotaktisch", "Protokoll,", "Lokalisation"):
+        assert element in behind and element not in before
+
+
+def test_obds_element_has_the_record_s_columns_in_its_order():
+    assert roundtrip._columns(roundtrip._surgery) == ["Intention", "Datum_OP", "Anzahl_Tage_Diagnose_OP",
+                                                      "Menge_OPS_code", "Beurteilung_Residualstatus"]
+
+
+def test_obds_files_hold_few_patients():
+    """A task's share does not grow with the register: 16 registers of 60 times 15,000 patients."""
+    buckets = roundtrip.file_buckets(900_000, 16)
+    assert 900_000 / buckets <= 4_000 and roundtrip.file_buckets(5_400_000, 16) == 6 * buckets
+
+
 # ---------------------------------------------------------------- sources
 
 DAY = datetime.datetime(2001, 2, 3)
