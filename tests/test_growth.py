@@ -219,6 +219,25 @@ def test_measurements_are_shuffled_once_until_linked(spark, stage):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def test_well_compressed_table_is_not_broadcast(spark, stage):
+    """A vocabulary of 3 MB in memory whose file is a tenth of that is no small table, one of few codes is."""
+    concept = stage.write(spark.range(0, 60_000, 1, 1).select("id", F.lit("Maps to").alias("link"), F.concat(
+        F.lit("concept "), F.col("id").cast("string")).alias("name")), "concept")
+    few = stage.write(concept.filter("id < 5"), "few")
+    rows = stage.write(spark.range(200_000).select(F.col("id").alias("code"), F.md5(F.col("id").cast("string")).alias("v"),
+                                                  F.sha2(F.col("id").cast("string"), 512).alias("rest")), "rows")
+    size = sum(f.stat().st_size for f in Path(stage.path).glob("001-concept/*.parquet"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", 1_000_000)
+    try:
+        assert size < 1_000_000
+        plans = [rows.join(table, rows["code"] == table["id"])._jdf.queryExecution().executedPlan().toString()
+                 for table in (concept, few)]
+        assert "BroadcastHashJoin" not in plans[0] and "BroadcastHashJoin" in plans[1]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_partitions_grow_with_the_input(spark):
     key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     tune(spark, 1 << 20)
