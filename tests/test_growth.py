@@ -64,6 +64,12 @@ def test_obds_files_are_compressed_and_whole(spark, stage):
         "patient": 5, "tumor": 7, "op": 2, "systemtherapie": 4, "strahlentherapie": 1, "fe": 2}
 
 
+def test_obds_files_are_not_indented(spark, stage):
+    folder = stage.folder("obds", lambda path: roundtrip.write_obds(registry(spark), path))
+    patients = [r.value for r in spark.read.text(folder).collect() if r.value.startswith(("<Patient ", "<Patient>"))]
+    assert len(patients) == 5 and all(line.endswith("</Patient>") and "> " not in line for line in patients)
+
+
 def test_obds_records_meet_in_one_shuffle(spark, stage):
     """Without the sources' own shuffles: the one by bucket, and the distinct registers of the files."""
     plans = []
