@@ -11,6 +11,7 @@ from oncospan.operators.intervals import events_in_intervals
 from oncospan.operators.lookup import lookup, seen
 from oncospan.plans import clinical, prep, roundtrip
 from oncospan.plans.driver_views import load_sources
+from oncospan.plans.pipeline import RegistryPipeline
 from oncospan.session import tune
 from oncospan.staging import Stage
 from oncospan.sources.obds_xml import read_obds
@@ -70,6 +71,24 @@ def test_obds_files_are_not_indented(spark, stage):
     assert len(patients) == 5 and all(line.endswith("</Patient>") and "> " not in line for line in patients)
 
 
+def test_xml_tables_are_taken_apart_once(spark, stage, tables, monkeypatch):
+    """What is built from the files reads flat rows, the same as those of the files."""
+    built = {}
+
+    def stop(pipeline):
+        built.update(pipeline.sources)
+        raise InterruptedError
+
+    monkeypatch.setattr(RegistryPipeline, "cdm", stop)
+    p = RegistryPipeline(spark, load_sources(spark, tables, stage), stage)
+    with pytest.raises(InterruptedError):
+        roundtrip.etl_from_xml(p)
+    for name in roundtrip.REGISTRY:
+        df, nested = built[name], roundtrip.xml_tables(p)[name]
+        assert all(f"-xml_{name}/" in f for f in df.inputFiles())
+        assert sorted(map(repr, df.collect())) == sorted(map(repr, nested.collect())) != []
+
+
 def test_obds_records_meet_in_one_shuffle(spark, stage):
     """Without the sources' own shuffles: the one by bucket, and the distinct registers of the files."""
     plans = []
